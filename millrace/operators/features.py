@@ -10,6 +10,7 @@ runner serves them all.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,9 +125,7 @@ def dedup_recent_n(df: DataFrame, settings: Settings = LIVE, key: str = KEY) ->
     n = settings.recent_ids
     offset_type = df.schema[ORDER].dataType.simpleString()
 
-    def walk(groups):
-        import pandas as pd
-
+    def walk(groups: pd.DataFrame) -> pd.DataFrame:
         pdf = groups.sort_values(ORDER)
         ring: list[str | None] = [None] * n
         held: set[str] = set()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,8 +122,6 @@ def ensemble_score(trees: list[dict], x: Column) -> Column:
 
 def node_table(trees: list[dict]):
     """The trees as arrays (feature, threshold, left, right, value, roots) for vectorised walking."""
-    import numpy as np
-
     feature, at, left, right, value, roots = [], [], [], [], [], []
 
     def add(node: dict) -> int:
@@ -141,9 +141,6 @@ def node_table(trees: list[dict]):
 
 def score_nodes(trees: list[dict], x: Column) -> Column:
     """Scores of an ensemble of any size: all trees walked together in Arrow batches."""
-    import numpy as np
-    import pandas as pd
-
     table = node_table(trees)
 
     @F.pandas_udf("double")
@@ -166,9 +163,6 @@ def score_nodes(trees: list[dict], x: Column) -> Column:
 
 def explain(trees: list[dict], x: Column, top: int = 3) -> Column:
     """"ml: a, b, c": the features whose splits raised the score most. Only for rows whose action changed."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("string")
     def of(batch: pd.Series) -> pd.Series:
         out = []

@@ -70,11 +70,11 @@ def hour(ts_ms: str = "ts_ms") -> Column:
     return F.floor(F.col(ts_ms) / 3_600_000) * 3_600_000
 
 
-def ml_decisions_hourly(events: DataFrame) -> DataFrame:
+def ml_decisions_hourly(events: DataFrame, digits: int = 4) -> DataFrame:
     raised = F.col("ml_reason") != ""
     return events.groupBy(hour().alias("hour_ms"), "ml_model").agg(
         F.count(F.lit(1)).alias("events"), n_if(raised, "raised_by_model"), n_if(raised & action("alert"), "model_alerts"),
-        F.round(F.avg("ml_score"), 4).alias("avg_ml_score"), F.round(F.percentile("ml_score", 0.99), 4).alias("p99_ml_score"),
+        F.round(F.avg("ml_score"), digits).alias("avg_ml_score"), F.round(F.percentile("ml_score", 0.99), digits).alias("p99_ml_score"),
         n_if(action("quarantine"), "quarantined"), n_if(action("alert"), "alerted"),
     )
 

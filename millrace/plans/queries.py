@@ -156,7 +156,7 @@ def incremental_counts(spark, d):
 # stateless stages
 
 
-@query("""SELECT number, CASE WHEN k <> 95 THEN epoch_ms(moment) END AS ts_ms FROM raw""")
+@query("""SELECT number, CASE WHEN k <> 95 THEN epoch_us(moment) // 1000 END AS ts_ms FROM raw""")
 def parse_timestamp(spark, d):
     return V.raw_events(spark, d).select("number", F.unix_millis(C.parse_timestamp(F.col("timestamp"))).alias("ts_ms"))
 
@@ -453,29 +453,34 @@ def latest_run_checks(spark, d):
 
 # rollups
 
-_DAY = "CAST(make_timestamp(ts_ms * 1000) AS DATE)"
+_DAY = "strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d')"
+
+
+def day_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("day", F.col("day").cast("string"))
+
 
 
 @query(f"SELECT {_DAY} AS day, event_type, recommended_action, count(*) AS events, count(DISTINCT runner_ip) AS runners, count(*) FILTER (is_suspicious = 1) AS suspicious FROM scored GROUP BY 1, 2, 3")
 def daily_summary(spark, d):
-    return rollups.daily_summary(V.scored(spark, d))
+    return day_text(rollups.daily_summary(V.scored(spark, d)))
 
 
 @query(f"SELECT day, rule, recommended_action, count(*) AS events, count(DISTINCT runner_ip) AS runners FROM (SELECT {_DAY} AS day, unnest(string_split(rule_hits, ',')) AS rule, recommended_action, runner_ip FROM scored WHERE rule_hits <> '') GROUP BY 1, 2, 3")
 def daily_rule_hits(spark, d):
-    return rollups.daily_rule_hits(V.scored(spark, d))
+    return day_text(rollups.daily_rule_hits(V.scored(spark, d)))
 
 
 @query(f"""SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY quarantined DESC, alerted DESC, runner_ip) AS n FROM (SELECT {_DAY} AS day, runner_ip, count(*) AS events, count(*) FILTER (recommended_action = 'quarantine') AS quarantined,
     count(*) FILTER (recommended_action = 'alert') AS alerted, min(ts_ms) AS first_seen_ms, max(ts_ms) AS last_seen_ms, coalesce(array_to_string(list_sort(list_filter(list_distinct(flatten(list(string_split(rule_hits, ',')))), lambda x: x <> '')), ','), '') AS rules
     FROM scored GROUP BY 1, 2) WHERE quarantined + alerted > 0) WHERE n <= 50""")
 def daily_top_sources(spark, d):
-    return rollups.daily_top_sources(V.scored(spark, d)).withColumn("rules", F.array_join("rules", ","))
+    return day_text(rollups.daily_top_sources(V.scored(spark, d))).withColumn("rules", F.array_join("rules", ","))
 
 
 @query(f"SELECT {_DAY} AS day, count(*) AS summarized, count(*) AS stored, true AS equal FROM scored GROUP BY 1")
 def daily_reconcile(spark, d):
-    return rollups.daily_reconcile(V.scored(spark, d))
+    return day_text(rollups.daily_reconcile(V.scored(spark, d)))
 
 
 @query(f"""SELECT day, (SELECT max(ts_ms) FROM scored) >= epoch_ms(day::TIMESTAMP) + 90000000 OR EXISTS (SELECT 1 FROM scored s WHERE s.ts_ms >= epoch_ms(day::TIMESTAMP) + 86520000 AND s.ts_ms < epoch_ms(day::TIMESTAMP) + 90120000) AS closed
@@ -485,13 +490,13 @@ def day_closed(spark, d):
     now = rows.agg(F.max("ts_ms").alias("now"))
     out = rollups.days_closed(rows, F.lit(0)).join(rollups.days_closed(rows, F.lit(1 << 62)).select("day"), "day")
     out = out.crossJoin(F.broadcast(now))
-    return out.select("day", (F.col("closed") | (F.col("now") >= F.unix_millis(F.date_add("day", 1).cast("timestamp")) + 3_600_000)).alias("closed"))
+    return out.select(F.col("day").cast("string").alias("day"), (F.col("closed") | (F.col("now") >= F.unix_millis(F.date_add("day", 1).cast("timestamp")) + 3_600_000)).alias("closed"))
 
 
 @query("""SELECT ts_ms // 3600000 * 3600000 AS hour_ms, ml_model, count(*) AS events, count(*) FILTER (ml_reason <> '') AS raised_by_model, count(*) FILTER (ml_reason <> '' AND recommended_action = 'alert') AS model_alerts,
-    round(avg(ml_score), 4) AS avg_ml_score, round(quantile_cont(ml_score, 0.99), 4) AS p99_ml_score, count(*) FILTER (recommended_action = 'quarantine') AS quarantined, count(*) FILTER (recommended_action = 'alert') AS alerted FROM scored GROUP BY 1, 2""")
+    round(avg(ml_score), 9) AS avg_ml_score, round(quantile_cont(ml_score, 0.99), 9) AS p99_ml_score, count(*) FILTER (recommended_action = 'quarantine') AS quarantined, count(*) FILTER (recommended_action = 'alert') AS alerted FROM scored GROUP BY 1, 2""")
 def ml_decisions_hourly(spark, d):
-    return rollups.ml_decisions_hourly(V.scored(spark, d))
+    return rollups.ml_decisions_hourly(V.scored(spark, d), digits=9)
 
 
 @query("""SELECT ml_model, reviewed_ms // 3600000 * 3600000 AS hour_ms, count(*) AS reviewed, count(*) FILTER (why_selected = 'model_alert') AS model_alerts_reviewed,
@@ -628,7 +633,7 @@ def review_candidates(spark, d):
     return review.candidates(V.scored(spark, d), unusual={"quantile": 0.99}, random={"per_mille": 50}).select("event_id", "why_selected")
 
 
-@query("""SELECT why_selected, CAST(greatest(0, least(cap, left_over - before)) AS BIGINT) AS cap FROM (SELECT greatest(3000 - (SELECT count(*) FROM reviews WHERE reviewed_ms >= (SELECT max(reviewed_ms) FROM reviews) - 30 * 86400000), 0) AS left_over),
+@query("""SELECT why_selected, CAST(greatest(0, least(cap, left_over - before)) AS BIGINT) AS cap FROM (SELECT greatest(3000 - (SELECT count(*) FROM reviews WHERE reviewed_ms >= (SELECT max(reviewed_ms) FROM reviews) - 30 * 86400000::BIGINT), 0) AS left_over),
     (VALUES ('random', 30, 0), ('model_alert', 20, 30), ('near_miss', 50, 50), ('unusual', 50, 100)) t(why_selected, cap, before)""")
 def review_budget(spark, d):
     seen = V.reviews(spark, d)
@@ -1049,7 +1054,7 @@ def inv_runner_window(spark, d):
 def inv_runner_history(spark, d):
     rows = V.scored(spark, d)
     own = rows.join(_busiest(rows), "runner_ip")
-    return own.groupBy(rollups.day().alias("day"), "recommended_action").agg(F.count(F.lit(1)).alias("events"), F.max("rule_score").alias("strongest"))
+    return own.groupBy(rollups.day().cast("string").alias("day"), "recommended_action").agg(F.count(F.lit(1)).alias("events"), F.max("rule_score").alias("strongest"))
 
 
 @query("SELECT event_id, ml_score FROM scored WHERE ts_ms > (SELECT max(ts_ms) FROM scored) - 10 * 86400000 AND ml_reason <> '' AND recommended_action = 'alert'")

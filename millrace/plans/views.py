@@ -195,7 +195,7 @@ _MESSAGES = "[" + ",".join("'" + m.replace("'", "''") + "'" for m in MESSAGES) +
 DAY = 86_400_000
 
 VIEWS_SQL = f"""
-src AS (SELECT event_id AS number, ts AS moment, user_id, event_type AS kind, value, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k, epoch_ms(ts) AS at_ms FROM events),
+src AS (SELECT event_id AS number, ts AS moment, user_id, event_type AS kind, value, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k, epoch_us(ts) // 1000 AS at_ms FROM events),
 raw AS (SELECT number * 10 AS "offset", CAST(user_id % 4 AS INTEGER) AS partition, k, at_ms, number, user_id, kind,
   at_ms + (k * 37 + 5) % 900 AS appended_ms, at_ms + k * 37 + 5 AS ingested_ms,
   CASE WHEN kind = 'error' AND user_id % 7 = 0 THEN 'retry_storm' ELSE 'normal' END AS scenario,
