@@ -199,13 +199,13 @@ def detect(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> D
 
     keyed = docs.select(F.sha2(text, 256).alias("key"), text.alias("text"))
     more = keyed.mapInPandas(near, "key string, entity string, term string, start int, end int").distinct().join(found, ["entity", "term"])
-    more = more.groupBy("key").agg(F.collect_set(F.struct(F.col("action").alias("kind"), "start", "end")).alias("more"))
-    key = free_name(docs, "_key")
+    key, extra = free_name(docs, "_key"), free_name(docs, "_more")
+    more = more.groupBy("key").agg(F.collect_set(F.struct(F.col("action").alias("kind"), "start", "end")).alias(extra))
     out = docs.withColumn(key, F.sha2(text, 256)).join(more.withColumnRenamed("key", key), key, "left").drop(key)
     base = _spans_column(text, spark.sparkContext.broadcast(None))
     order = lambda x: F.struct(x["start"], F.array_position(F.array(*map(F.lit, (*KINDS, *TERM_KINDS))), x["kind"]).alias("o"), x["end"], x["kind"].alias("kind"))
-    both = F.array_sort(F.transform(F.concat(base, F.coalesce("more", F.array().cast(SPANS))), order))
-    return out.withColumn(out_col, F.transform(both, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))).drop("more")
+    both = F.array_sort(F.transform(F.concat(base, F.coalesce(extra, F.array().cast(SPANS))), order))
+    return out.withColumn(out_col, F.transform(both, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))).drop(extra)
 
 
 def joined(spans: Column) -> Column:

@@ -182,7 +182,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     rows = prints.join(kept, "node").filter(F.col("id").eqNullSafe(F.col("kept_id"))).select("kept_id", "n", "node")
     rows = materialize(rows.groupBy("kept_id", F.when(F.col("kept_id").isNull(), F.col("node")).alias("node")).agg(F.sum("n").alias("n")))
     named = rows.filter("kept_id is not null").select("kept_id")
-    out = docs.join(bounded_broadcast(named, named.count()), docs[id_col] == F.col("kept_id"), "left_semi")
+    wanted = free_name(docs, "_kept")
+    named = named.select(F.col("kept_id").alias(wanted))
+    out = docs.join(bounded_broadcast(named, named.count()), docs[id_col] == F.col(wanted), "left_semi")
     if not rows.filter("kept_id is not null and n > 1").isEmpty():
         out = out.dropDuplicates([id_col])
     if rows.filter("kept_id is null").isEmpty():
@@ -190,5 +192,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     name = free_name(docs, "_node")
     nameless = docs.filter(F.col(id_col).isNull()).withColumn(name, print_of)
     nameless = nameless.withColumn(name, F.xxhash64(*[F.get(name, k) for k in range(3)])).dropDuplicates([name])
-    ones = rows.filter("kept_id is null").select("node")
-    return out.unionByName(nameless.join(ones, nameless[name] == ones["node"], "left_semi").drop(name))
+    ones = rows.filter("kept_id is null").select(F.col("node").alias(name))
+    return out.unionByName(nameless.join(ones, name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]))
