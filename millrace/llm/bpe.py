@@ -28,8 +28,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.llm.common import text_or_empty
+from millrace.llm.common import bound_batches, text_or_empty
 
 #: States, and recent words (twice as many with the ones before), that a process remembers; what is over that is worked out anew.
 MOST_STATES, MOST_WORDS = 200_000, 150_000
@@ -64,7 +65,7 @@ class Transducer:
         self.ranks, self.most_states = ranks, most_states
         self.token = {r: t for t, r in ranks.items()}
         self._split: dict[int, tuple[int, int] | None] = {}
-        self._follows: dict[tuple[int, int], bool] = {}
+        self._follows: dict[int, bool] = {}
         # trie: (node << 8 | byte) -> node; ends[node] is the token that ends there; a token that merging never makes has no end
         self.trie: dict[int, int] = {}
         self.ends, self.inner = [-1], [False]
@@ -109,7 +110,7 @@ class Transducer:
         Walk back in merging time along the right edge of a and the left edge of b: the two parts that touch at a time
         must not join before either is taken into its own parent.
         """
-        known = self._follows.get((a, b))
+        known = self._follows.get(a << 32 | b)
         if known is not None:
             return known
         left, right, until_left, until_right, ok = a, b, None, None, True
@@ -127,7 +128,7 @@ class Transducer:
                 until_right, right = right, rs[0]
         if len(self._follows) > 4 * self.most_states:
             self._follows.clear()
-        self._follows[a, b] = ok
+        self._follows[a << 32 | b] = ok
         return ok
 
     def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]] | None:
@@ -187,8 +188,8 @@ class Transducer:
 class Codec:
     """Texts to token ids and back, as the ranks and the pattern say, without special tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most_words: int = MOST_WORDS):
-        self.transducer, self.pattern, self.most_words = Transducer(ranks), regex.compile(pattern), most_words
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_words: int = MOST_WORDS, most_states: int = MOST_STATES):
+        self.transducer, self.pattern, self.most_words = Transducer(ranks, most_states), regex.compile(pattern), most_words
         self.letters = r" ?\p{L}+" in pattern.split("|")
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for t, r in ranks.items():
@@ -249,22 +250,30 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, most_words: int = MOST_WORDS, most_states: int = MOST_STATES) -> Codec:
     """The codec of a ranks file, one for each process."""
-    return Codec(load_ranks(path), pattern)
+    return Codec(load_ranks(path), pattern, most_words, most_states)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """docs with n_tokens (long) and ids (array<int>)."""
+def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text", at_once: int = 256, **bounds: int) -> DataFrame:
+    """docs with n_tokens (long) and ids (array<int>). A task holds the ids of `at_once` documents at a time; bounds are those of codec()."""
+    bound_batches(docs.sparkSession)
+    docs = docs.drop("n_tokens", "ids")
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = codec(path, pattern)
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path, pattern, **bounds)
         for batch in batches:
-            yield pd.Series([np.array(coder.encode(t), np.int32) for t in batch], dtype=object)
-
-    out = docs.withColumn("ids", of(text_or_empty(text_col)))
-    return out.withColumn("n_tokens", F.size("ids").cast("long"))
+            for k in range(0, batch.num_rows, at_once):
+                part = batch.slice(k, at_once)
+                found = [np.array(coder.encode(t or ""), np.int32) for t in part.column(at).to_pylist()]
+                n = np.array([len(x) for x in found], np.int64)
+                ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), ids], [*part.schema.names, "n_tokens", "ids"])
+
+    return docs.mapInArrow(of, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:

@@ -36,6 +36,13 @@ def bounded_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def bound_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Let an Arrow batch of the session hold at most so many rows: whole texts can be long, and a task holds some batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

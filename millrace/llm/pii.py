@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BROADCAST_ROWS, free_name, materialize, text_or_empty
+from millrace.llm.common import BROADCAST_ROWS, bound_batches, free_name, materialize, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
@@ -129,6 +129,7 @@ def all_spans(text: str, flagged: dict[str, dict[str, str]] | None) -> list[tupl
 
 def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, action, disclosed) for the terms that give away too much of an entity, over the whole corpus."""
+    bound_batches(docs.sparkSession)
     texts = docs.select(text_or_empty(text_col).alias("text"))
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

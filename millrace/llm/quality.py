@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_name, materialize, text_or_empty
+from millrace.llm.common import bound_batches, free_name, materialize, text_or_empty
 
 STATISTICS = [
     "log_chars", "log_words", "word_length", "longest_word", "distinct_words", "repeated_next", "top_word", "upper",
@@ -157,6 +157,7 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", sample: int = SAMPLE) -> RuleModel:
     """The model of the labelled rows that are not held out."""
+    bound_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).dropna()
     known = known.filter(~held_out(F.col("id"))).groupBy("id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -167,6 +168,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
 def classify(docs: DataFrame, model: RuleModel, id_col: str = "doc_id") -> DataFrame:
     """docs with held_out, score and predicted."""
+    bound_batches(docs.sparkSession)
     stats = free_name(docs, "_stats")
     out = docs.withColumn(stats, statistics_column(text_or_empty("text")))
     out = out.withColumns({"score": model.score(F.col(stats)), "held_out": held_out(F.col(id_col))}).drop(stats)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounded_broadcast, free_name, materialize, text_or_empty
+from millrace.llm.common import bound_batches, bounded_broadcast, free_name, materialize, text_or_empty
 from millrace.llm.components import components
 
 WIDTH, SEED, DISTANCE = 5, 42, 4
@@ -96,6 +96,7 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, distance: int = DISTANCE
 ) -> DataFrame:
     """(id, fingerprint hex, component_id) for each row of docs; component_id is the smallest id reachable by links."""
+    bound_batches(docs.sparkSession)
     prints = docs.select(F.col(id_col).alias("id"), fingerprint(text_or_empty(text_col), width).alias("fp"))
     prints = materialize(prints)
     unique = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
@@ -167,6 +168,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         for batch in batches:
             yield pd.Series([wide_print(t, width) for t in batch], dtype=object)
 
+    bound_batches(docs.sparkSession)
     f = ["f0", "f1", "f2"]
     print_of = wide(text_or_empty(text_col))
     prints = docs.select(F.col(id_col).alias("id"), print_of.alias("f")).select("id", *[F.get("f", k).alias(c) for k, c in enumerate(f)])
