@@ -15,7 +15,10 @@ first; equal ids follow each other ordered by text. An empty table writes no fil
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -33,8 +36,9 @@ from millrace.llm.common import materialize, shared_dir, text_or_empty
 #: Fixed values of the public formats: skippable frames, and the footer of the seek table.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 LEVEL = 3
-MOST_WORDS = 150_000
-_MISSING = object()
+MOST_WORDS = 300_000
+#: All white space but the blank and the line end.
+RARE_BLANKS = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n"]
 
 
 class WordEncoder:
@@ -45,6 +49,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, most_words: int = MOST_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
         self.library, self.most_words = Tokenizer.from_file(path), most_words
@@ -52,13 +57,13 @@ class WordEncoder:
         self.older: dict[str, bytes] = {}
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
 
     @staticmethod
     def cut(text: str) -> list[str]:
         """Pieces whose encodings join to that of the text; all but the first begin with a blank that is left out here."""
         parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
+        if "" not in parts and " \n" not in text and "\n " not in text and not any(c in text for c in RARE_BLANKS):
             return parts
         out = parts[:1]
         for p in parts[1:]:
@@ -72,18 +77,12 @@ class WordEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cuts = [self.cut(t) for t in texts]
         known, older = self.recent, self.older
-        new: dict[str, None] = {}
-        for cut in cuts:
-            for word in cut[1:]:
-                if word not in known:
-                    ids = older.get(word)
-                    if ids is None:
-                        new[word] = None
-                    else:
-                        known[word] = ids
-        words = list(new)
-        for k in range(0, len(words), 50_000):
-            part = words[k : k + 50_000]
+        missing = set().union(*[cut[1:] for cut in cuts]).difference(known)
+        again = missing & older.keys()
+        known.update({w: older[w] for w in again})
+        new = list(missing - again)
+        for k in range(0, len(new), 50_000):
+            part = new[k : k + 50_000]
             known.update(zip(part, self._encode([" " + w for w in part]), strict=True))
         firsts = self._encode([cut[0] for cut in cuts])
         get = known.__getitem__
