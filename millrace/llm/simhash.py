@@ -16,6 +16,7 @@ Repeated rows stay, with equal results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,79 +110,146 @@ def near_duplicates(
     )
 
 
-def wide_print(text: str, width: int = WIDTH) -> list[int]:
-    """Three 64-bit fingerprints of one text, from three independent hashes of each shingle; the first is simhash()."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+#: The near-copy stage: bits of its fingerprint, the least similarity, and the share of such pairs that some band must meet.
+WIDE, SIMILAR, RECALL = 1024, 0.8, 0.98
+#: Part of the bits that a pair of the least similarity differs in, and the bits of 64 that it hardly ever exceeds (0.03 %).
+MOVED, WORD_DISTANCE = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi, 20
+
+
+def _normal(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def node_of(text: str) -> int:
+    """A signed 64-bit number for the words of a text; texts of equal words are one node."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(_normal(text)), SEED)).view(np.int64))
+
+
+def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
+    """The sorted 64-bit hashes of the different shingles."""
+    words = _normal(text)
     if not words:
-        return [0, 0, 0]
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))
     ends = (ends - 1)[min(width, len(words)) - 1 :].tolist()
-    starts = starts[: len(ends)].tolist()
-    one, two, votes = xxhash.xxh64_digest, xxhash.xxh3_128_digest, np.zeros(192, np.int64)
-    for k in range(0, len(ends), BLOCK):
-        parts = [joined[s:e] for s, e in zip(starts[k : k + BLOCK], ends[k : k + BLOCK], strict=True)]
-        raw = b"".join([one(p, SEED)[::-1] + two(p, SEED) for p in parts])
-        votes += np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 24), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return np.packbits(2 * votes > len(ends), bitorder="little").view("<i8").tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[s:e], SEED) for s, e in zip(starts[: len(ends)].tolist(), ends, strict=True)], "<u8"))
+
+
+def wide_print(text: str, width: int = WIDTH) -> bytes:
+    """The SimHash of 1,024 bits over the different shingles; each hash is stretched by splitmix64."""
+    shingles = shingle_set(text, width)
+    votes = np.zeros(WIDE, np.int64)
+    steps = np.arange(1, WIDE // 64 + 1, dtype="<u8") * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(0, len(shingles), 4096):
+        h = shingles[k : k + 4096, None] + steps
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        votes += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
+    return np.packbits(2 * votes > len(shingles), bitorder="little").tobytes()
+
+
+def bands(nodes: int, recall: float = RECALL) -> np.ndarray:
+    """The bits of each band: keys two bits longer than log2 of the nodes, so unrelated ones share few, and as many as recall takes."""
+    bits = max(12, math.ceil(math.log2(max(nodes, 2))) + 2)
+    count = math.ceil(math.log(1 - recall) / math.log1p(-((1 - MOVED) ** bits)))
+    random = np.random.RandomState(SEED)
+    return np.stack([random.choice(WIDE, bits, replace=False) for _ in range(count)])
+
 
+def meetings(prints: DataFrame, nodes: int) -> DataFrame:
+    """(key, node, f0) for each band in which a node of prints (node, f) is not alone."""
+    chosen = bands(nodes)
 
-def similar(prints: DataFrame, word_distance: int = 13, distance: int = 32, neighbours: int = 2) -> DataFrame:
-    """(a, b): links between nodes of prints (node, f0, f1, f2) whose 192 bits differ in at most `distance`.
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        powers = np.int64(1) << np.arange(chosen.shape[1], dtype="int64")
+        top = np.arange(len(chosen), dtype="int64") << 48
+        for batch in batches:
+            for k in range(0, len(batch), 256):
+                part = batch.iloc[k : k + 256]
+                raw = np.frombuffer(b"".join(part["f"]), np.uint8).reshape(len(part), -1)
+                bits = np.unpackbits(raw, axis=1, bitorder="little")
+                keys = np.stack([bits[:, c].astype("int64") @ powers for c in chosen], axis=1) + top
+                first = np.ascontiguousarray(raw[:, :8]).view("<i8")[:, 0]
+                yield pd.DataFrame({"key": keys.ravel(), "node": np.repeat(part["node"].to_numpy(), len(chosen)), "f0": np.repeat(first, len(chosen))})
+
+    index = prints.mapInPandas(of, "key long, node long, f0 long")
+    index = index.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    return materialize(index.filter("m > 1").drop("m"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, similarity: float = SIMILAR) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of at least `similarity`; docs holds node and text."""
+    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    needed = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    texts = docs.join(bounded_broadcast(needed, needed.count()), "node", "left_semi")
+
+    @F.pandas_udf("array<long>")
+    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t, width).view("<i8") for t in batch], dtype=object)
 
-    A similarity of 0.8 of the shingle sets moves each bit with probability 0.15, 29 of 192 on average, and one of nine
-    segments then differs in at most one bit for three pairs of four; at 0.9 for forty-nine of fifty. Every fingerprint is
-    indexed under the one-wildcard variants of its nine segments. In a variant the fingerprints are sorted and each meets
-    its next few alone, so a group of thousands of near-copies costs its size, not its square; its members meet in many
-    orders, and components join them. A pair that meets is checked on its 64 bits there, then on all 192.
+    # texts of one node have equal words: any of them
+    sets = materialize(texts.groupBy("node").agg(F.first("text").alias("text")).select("node", shingles("text").alias("set")))
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+    both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("c"))
+    return materialize(both.filter(F.col("c") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("c")) - 1e-9).select("a", "b"))
+
+
+def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(a, b): verified links between nodes of prints (node, f); their components are those of all pairs that meet in a band.
+
+    First every node meets the least node of each of its buckets. Members that these links already join need not meet again,
+    so of each bucket only those outside its largest component meet all members of other components, none left out. A group
+    of thousands of near-copies costs its size that way, and only buckets of many unlinked texts cost their square.
     """
+    shared = meetings(prints, prints.count())
     bits = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
-    pairs = None
-    for word in ("f0", "f1", "f2"):
-        index = prints.select(F.col(word).alias("fp")).distinct().select(F.explode(_variants(F.col("fp"))).alias("key"), "fp")
-        order = Window.partitionBy("key").orderBy("fp")
-        met = index.select("fp", F.array(*[F.lead("fp", k).over(order) for k in range(1, neighbours + 1)]).alias("next"))
-        met = met.select(F.col("fp").alias("x"), F.explode("next").alias("y")).filter(F.col("y").isNotNull() & (bits("x", "y") <= word_distance))
-        met = materialize(met.distinct())
-        side = lambda c, e: prints.select(F.col(word).alias(c), *[F.col(n).alias(f"{e}_{n}") for n in ("node", "f0", "f1", "f2")])  # noqa: B023, E731
-        found = met.join(side("x", "a"), "x").join(side("y", "b"), "y")
-        # equal words: each with the smallest of them
-        least = prints.groupBy(F.col(word).alias("x")).agg(F.min(F.struct("node", "f0", "f1", "f2")).alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        least = least.select("x", *[F.col(f"m.{n}").alias(f"b_{n}") for n in ("node", "f0", "f1", "f2")])
-        found = found.drop("x", "y").unionByName(side("x", "a").join(least, "x").filter("a_node <> b_node").drop("x"))
-        near = found.filter(bits("a_f0", "b_f0") + bits("a_f1", "b_f1") + bits("a_f2", "b_f2") <= distance)
-        near = near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
-        pairs = near if pairs is None else pairs.unionByName(near)
-    return pairs.distinct()
+    key = Window.partitionBy("key")
+    star = shared.withColumn("least", F.min(F.struct("node", "f0")).over(key)).select(F.col("node").alias("a"), F.col("least.node").alias("b"), "f0", F.col("least.f0").alias("g0"))
+    links = verified(star.filter("a <> b").filter(bits("f0", "g0") <= WORD_DISTANCE), docs, width)
+    found = components(links)
+    rooted = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rooted.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key", "root"))).withColumn("most", F.max(F.struct("m", "root")).over(key)["root"])
+    rooted = rooted.withColumns({"low": F.min("root").over(key), "high": F.max("root").over(key)}).filter("low <> high")
+    rooted = materialize(rooted.select("key", "node", "f0", "root", (F.col("root") != F.col("most")).alias("minor")))
+    x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra"))
+    met = x.join(rooted, "key").filter((F.col("ra") != F.col("root")) & (~F.col("minor") | (F.col("a") < F.col("node"))))
+    met = met.filter(bits("f0", "g0") <= WORD_DISTANCE).select("a", F.col("node").alias("b"))
+    return links.unionByName(verified(met, docs, width))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """The rows of docs of which each group of near-copies keeps one, that of its smallest id (repeated rows: one of them).
 
-    Near-copies are components of similar(), at a similarity of about 0.8 of the shingle sets and more. Of rows with a null
-    id one for each fingerprint is kept, if no row of its group has an id.
+    Near-copies are components of similar(): texts whose shingle sets have a similarity of 0.8 or more. Of rows with a null
+    id one for each node is kept, if no row of its group has an id.
     """
 
-    @F.pandas_udf("array<long>")
+    @F.pandas_udf("long")
+    def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([node_of(t) for t in batch], dtype="int64")
+
+    @F.pandas_udf("binary")
     def wide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([wide_print(t, width) for t in batch], dtype=object)
 
     bound_batches(docs.sparkSession)
-    f = ["f0", "f1", "f2"]
-    print_of = wide(text_or_empty(text_col))
-    prints = docs.select(F.col(id_col).alias("id"), print_of.alias("f")).select("id", *[F.get("f", k).alias(c) for k, c in enumerate(f)])
-    prints = prints.groupBy("id", *f).agg(F.count(F.lit(1)).alias("n"))
-    prints = materialize(prints.withColumn("node", F.xxhash64(*f)))
-    unique = materialize(prints.groupBy("node", *f).agg(F.min("id").alias("least")))
-    found = components(materialize(similar(unique)))
+    text = text_or_empty(text_col)
+    prints = materialize(docs.select(F.col(id_col).alias("id"), number(text).alias("node"), wide(text).alias("f")))
+    unique = materialize(prints.groupBy("node").agg(F.first("f").alias("f"), F.min("id").alias("least")))
+    found = components(similar(unique.select("node", "f"), docs.select(number(text).alias("node"), text.alias("text")), width))
     rooted = unique.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
     # the first of a group by id; without any id, every node of it
     kept = rooted.join(first, "root").filter(F.col("least").eqNullSafe(F.col("first"))).select("node", F.col("first").alias("kept_id"))
     kept = materialize(kept)
-    rows = prints.join(kept, "node").filter(F.col("id").eqNullSafe(F.col("kept_id"))).select("kept_id", "n", "node")
+    rows = prints.join(kept, "node").filter(F.col("id").eqNullSafe(F.col("kept_id"))).select("kept_id", F.lit(1).alias("n"), "node")
     rows = materialize(rows.groupBy("kept_id", F.when(F.col("kept_id").isNull(), F.col("node")).alias("node")).agg(F.sum("n").alias("n")))
     named = rows.filter("kept_id is not null").select("kept_id")
     wanted = free_name(docs, "_kept")
@@ -192,7 +260,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     if rows.filter("kept_id is null").isEmpty():
         return out
     name = free_name(docs, "_node")
-    nameless = docs.filter(F.col(id_col).isNull()).withColumn(name, print_of)
-    nameless = nameless.withColumn(name, F.xxhash64(*[F.get(name, k) for k in range(3)])).dropDuplicates([name])
+    nameless = docs.filter(F.col(id_col).isNull()).withColumn(name, number(text)).dropDuplicates([name])
     ones = rows.filter("kept_id is null").select(F.col("node").alias(name))
     return out.unionByName(nameless.join(ones, name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]))
