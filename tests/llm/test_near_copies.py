@@ -34,6 +34,20 @@ def prints_of(spark, texts):
     return df.select("node", "f"), df.select("node", "text"), {n: t for n, _, t in nodes}
 
 
+def test_links_are_those_of_brute_force(spark):
+    r, texts, pairs = random.Random(11), [], []
+    for kept in (0.7, 0.75, 0.78, 0.82, 0.85, 0.9):
+        for _ in range(40):
+            pairs.append(planted(r, kept))
+    texts = [t for p in pairs for t in p]
+    prints, docs, text_of = prints_of(spark, texts)
+    got = {(text_of[a], text_of[b]) for a, b in simhash.similar(prints, docs).collect()}
+    got |= {(b, a) for a, b in got}
+    assert all(jaccard(a, b) >= 0.8 for a, b in got)
+    want = [p for p in pairs if jaccard(*p) >= 0.8]
+    assert len(want) >= 100 and sum(p in got for p in want) >= 0.97 * len(want)
+
+
 def test_no_member_of_a_bucket_is_skipped(spark, monkeypatch):
     """One bucket for all: pairs are found however many others sort between them, and a large group costs no square."""
     monkeypatch.setattr(simhash, "bands", lambda nodes: np.zeros((1, 1), int))
