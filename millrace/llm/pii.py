@@ -1,14 +1,16 @@
 """Personal data: pattern spans, and information-theoretic sanitisation of the terms around them.
 
-Every match of a base pattern is a protected entity (its kind and value). The terms within `window` words of an entity are
-its context. Over the corpus, a term t and an entity e that share c different contexts, t in df(t) of N documents and e in
-df(e) contexts, have pointwise mutual information log2(c N / (df(t) df(e))); over the information of e, log2(N / df(e)),
-that is how much of e the term gives away. A term over the threshold, in at least `support` different contexts (so copies
-of one document prove nothing), is sanitised beside e: generalised to its first letters where those give away less than
-the threshold, removed where they do too.
-
-Contexts are few; the corpus is counted map-side for the terms that passed `support` alone, and only terms over the
-threshold go back to the texts: as a broadcast where they are checked to be few, else by a join on a digest of the text.
+Every match of a base pattern is a protected entity (its kind and value). All counts are of different texts, so copies of a
+text change none of them: a term t (a whole word of the text that touches no base span) and an entity e that share c of N
+texts, t in df(t) and e in df(e) of them, have pointwise mutual information log2(c N / (df(t) df(e))); over the information
+of e, log2(N / df(e)), that is how much of e the term gives away. The texts must hold e in at least `support` different
+contexts (the `window` words around it), so near-copies of one document prove nothing. A term over the threshold is
+sanitised wherever it stands, in every text: generalised to its first letters where those give away less than the
+threshold of every entity it reveals, removed otherwise.
+
+Texts that hold an entity of enough contexts are few; the corpus is counted map-side for the terms that passed `support`
+alone, each text divided by its copies. Only terms over the threshold go back to the texts: as a broadcast where they are
+checked to be few, else by a join on a digest of the text.
 
 Defined results: a null text counts as empty and has no spans. Repeated rows get equal spans. Base spans all
 stay, also where they overlap each other; a word that touches one is no term. Positions are code points.
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BROADCAST_ROWS, bound_batches, free_name, materialize, text_or_empty
+from millrace.llm.common import BROADCAST_ROWS, bound_batches, bounded_broadcast, free_name, materialize, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
@@ -91,38 +93,50 @@ def stem_of(term: str) -> str:
     return f"{term[:STEM]}*"
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], window: int = WINDOW) -> list[tuple[str, str, int, int, str]]:
-    """(entity, term, start, end, the context's words) for the terms around each base span; words that touch a span are no terms."""
-    if not spans:
-        return []
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+def free_words(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) for every word of the text that is a term and touches no span."""
     ends, furthest = [], 0
     for _, _, e in spans:
         furthest = max(furthest, e)
         ends.append(furthest)  # where the spans so far end at the latest
-    free = []
-    for s, e in words:
-        k = bisect_left(spans, e, key=lambda x: x[1])
-        free.append(k == 0 or ends[k - 1] <= s)  # no span that begins before the word's end reaches into it
-    starts = [s for s, _ in words]
     out = []
-    for kind, start, end in spans:
-        name = entity(kind, text[start:end])
-        at = bisect_left(starts, start)
-        until = bisect_left(starts, end)
-        near = [i for i in range(max(0, at - window), min(len(words), until + window)) if free[i]]
-        terms = [(term_of(text[slice(*words[i])]), *words[i]) for i in near]
-        around = " ".join(t for t, _, _ in terms)
-        out += [(name, t, s, e, around) for t, s, e in terms if t]
+    for m in _WORD.finditer(text):
+        s, e = m.span()
+        k = bisect_left(spans, e, key=lambda x: x[1])
+        # no span that begins before the word's end reaches into it
+        if (k == 0 or ends[k - 1] <= s) and (term := term_of(m[0])):
+            out.append((term, s, e))
     return out
 
 
-def all_spans(text: str, flagged: dict[str, dict[str, str]] | None) -> list[tuple[str, int, int]]:
-    """The base spans, and the terms that flagged (entity -> term -> action) names beside their entities."""
+def terms_of(text: str) -> set[str]:
+    """The different terms of a text and their stems."""
+    spans = base_spans(text)
+    terms = {t for t, _, _ in free_words(text, spans)} if spans else {t for t in map(term_of, set(_WORD.findall(text))) if t}
+    return terms | {stem_of(t) for t in terms}
+
+
+def contexts(text: str, window: int = WINDOW) -> dict[str, str]:
+    """entity -> the terms around its base spans in the text."""
+    spans = base_spans(text)
+    if not spans:
+        return {}
+    free = free_words(text, spans)
+    starts = [s for _, s, _ in free]
+    out: dict[str, list[str]] = {}
+    for kind, start, end in spans:
+        at, until = bisect_left(starts, start), bisect_left(starts, end)
+        near = [t for t, _, _ in free[max(0, at - window) : until + window]]
+        out.setdefault(entity(kind, text[start:end]), []).append(" ".join(near))
+    return {e: "\n".join(sorted(set(near))) for e, near in out.items()}
+
+
+def all_spans(text: str, flagged: dict[str, str] | None) -> list[tuple[str, int, int]]:
+    """The base spans, and every occurrence of the terms that flagged (term -> action) names."""
     spans = base_spans(text)
-    if not spans or not flagged:
+    if not flagged:
         return spans
-    more = {(flagged[e][t], s, end) for e, t, s, end, _ in contexts(text, spans) if t in flagged.get(e, ())}
+    more = [(flagged[t], s, e) for t, s, e in free_words(text, spans) if t in flagged]
     order = (*KINDS, *TERM_KINDS)
     return sorted([*spans, *more], key=lambda x: (x[1], order.index(x[0]), x[2]))
 
@@ -130,21 +144,50 @@ def all_spans(text: str, flagged: dict[str, dict[str, str]] | None) -> list[tupl
 def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, action, disclosed) for the terms that give away too much of an entity, over the whole corpus."""
     bound_batches(docs.sparkSession)
-    texts = docs.select(text_or_empty(text_col).alias("text"))
+    texts = docs.select(text_or_empty(text_col).alias("text")).withColumn("digest", F.md5("text"))
+    copies = materialize(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")))
+    total = materialize(copies.agg(F.count(F.lit(1)).cast("double").alias("n")))
+    copies = copies.filter("copies > 1")
 
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(e, t, around) for text in batch["text"] for e, t, _, _, around in contexts(text, base_spans(text))]
-            rows += [(e, stem_of(t), around) for e, t, around in rows]
-            yield pd.DataFrame(rows, columns=["entity", "term", "around"], dtype=object)
+            rows = [(d, e, around) for d, text in zip(batch["digest"], batch["text"], strict=True) for e, around in contexts(text).items()]
+            yield pd.DataFrame(rows, columns=["digest", "entity", "around"], dtype=object)
+
+    met = texts.mapInPandas(held, "digest string, entity string, around string")
+    met = materialize(met.select("digest", "entity", F.xxhash64("around").alias("context")).distinct())
+    known = met.groupBy("entity").agg(F.count(F.lit(1)).alias("e"), F.count_distinct("context").alias("contexts")).filter(F.col("contexts") >= support)
+    known = materialize(known.select("entity", "e"))
+    empty = docs.sparkSession.createDataFrame([], "entity string, term string, action string, disclosed double")
+    if known.isEmpty():
+        return empty
+    per_text = met.join(known, "entity").groupBy("digest").agg(F.collect_list(F.struct("entity", "context")).alias("held"))
+    per_text = materialize(per_text)
+    with_held = texts.join(bounded_broadcast(per_text, per_text.count()), "digest").dropDuplicates(["digest"])
 
-    met = texts.mapInPandas(near, "entity string, term string, around string")
-    met = materialize(met.select("entity", "term", F.xxhash64("around").alias("context")).distinct())
-    pairs = met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= support)
+    def share(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text, entities in zip(batch["text"], batch["held"], strict=True):
+                terms = list(terms_of(text))
+                # each text once more without an entity: the texts of a term among these, no more than its df
+                for one in [*entities, {"entity": "", "context": 0}]:
+                    for k in range(0, len(terms), 10_000):
+                        part = terms[k : k + 10_000]
+                        yield pd.DataFrame({"entity": one["entity"], "context": one["context"], "term": part})
+
+    pairs = with_held.mapInPandas(share, "entity string, context long, term string")
+    pairs = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("c"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("contexts"))
+    pairs = materialize(pairs.filter((F.col("entity") == "") | (F.col("contexts") >= support)).select("entity", "term", "c"))
+    seen_in = pairs.filter("entity = ''").select("term", F.col("c").alias("least_df"))
+    pairs = pairs.filter("entity <> ''")
+    information = F.greatest(F.log2(F.col("n") / F.col("e")), F.lit(1e-9))
+    gives = lambda c, d: F.log2(F.col(c) * F.col("n") / (F.col(d) * F.col("e"))) / information
+    # what a term gives away falls with its df: one below the threshold at the least df cannot pass
+    possible = pairs.join(known, "entity").join(seen_in, "term").crossJoin(F.broadcast(total)).filter(gives("c", "least_df") >= threshold - 1e-9)
     stems = F.concat(F.substring("term", 1, STEM), F.lit("*"))
-    strong = pairs.filter(~F.col("term").endswith("*")).withColumn("stem", stems)
+    strong = possible.select("entity", "term", "c").filter(~F.col("term").endswith("*")).withColumn("stem", stems)
     strong = materialize(strong.join(pairs.select("entity", F.col("term").alias("stem"), F.col("c").alias("stem_c")), ["entity", "stem"]))
-    empty = docs.sparkSession.createDataFrame([], "entity string, term string, action string, disclosed double")
     if strong.isEmpty():
         return empty
     wanted = materialize(strong.select("term").union(strong.select("stem")).distinct())
@@ -152,22 +195,28 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     listed = docs.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in wanted.toLocalIterator()) if few else None)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[tuple[str, int]] = Counter()
+
+        def counts() -> pd.DataFrame:
+            out = pd.DataFrame([(t, n, rows) for (t, n), rows in seen.items()], columns=["term", "copies", "rows"])
+            seen.clear()
+            return out.astype({"term": object, "copies": "int64", "rows": "int64"})
+
         for batch in batches:
-            seen: Counter[str] = Counter()
-            for text in batch["text"]:
-                terms = {t for t in map(term_of, set(_WORD.findall(text))) if t}
-                terms |= {stem_of(t) for t in terms}
-                seen.update(terms if listed.value is None else terms & listed.value)
-            yield pd.DataFrame({"term": list(seen.keys()), "n": list(seen.values())}).astype({"term": object, "n": "int64"})
-
-    df = texts.mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
+            for text, n in zip(batch["text"], batch["copies"], strict=True):
+                terms = terms_of(text)
+                seen.update((t, n) for t in (terms if listed.value is None else terms & listed.value))
+            if len(seen) > 100_000:
+                yield counts()
+        yield counts()
+
+    counted = texts.join(bounded_broadcast(copies, copies.count()), "digest", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+    df = counted.mapInPandas(count, "term string, copies long, rows long").groupBy("term", "copies").agg(F.sum("rows").alias("rows"))
+    # all copies of a text hold the term: their rows are a multiple of the copies
+    df = df.groupBy("term").agg(F.sum(F.expr("rows div copies")).alias("df"))
     df = materialize(df.join(wanted, "term", "left_semi"))
-    total = docs.select(F.count(F.lit(1)).cast("double").alias("n"))
-    known = met.groupBy("entity").agg(F.countDistinct("context").alias("e"))
     got = strong.join(known, "entity").join(df, "term").join(df.select(F.col("term").alias("stem"), F.col("df").alias("stem_df")), "stem")
     got = got.crossJoin(F.broadcast(total))  # one row
-    information = F.greatest(F.log2(F.col("n") / F.col("e")), F.lit(1e-9))
-    gives = lambda c, d: F.log2(F.col(c) * F.col("n") / (F.col(d) * F.col("e"))) / information
     got = got.withColumns({"disclosed": gives("c", "df"), "by_stem": gives("stem_c", "stem_df")}).filter(F.col("disclosed") >= threshold)
     action = F.when(F.col("by_stem") < threshold, "generalise").otherwise("remove")
     return got.select("entity", "term", action.alias("action"), "disclosed")
@@ -185,22 +234,22 @@ def _spans_column(text: Column, flagged: object) -> Column:
 def detect(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> DataFrame:
     """docs with the array of spans (kind, start, end): base kinds, and generalise or remove for disclosing terms."""
     spark, text = docs.sparkSession, text_or_empty(text_col)
-    found = materialize(disclosing(docs, text_col))
+    found = disclosing(docs, text_col).groupBy("term").agg(F.max("action").alias("action"))  # remove before generalise
+    found = materialize(found)
     if found.count() <= BROADCAST_ROWS:
-        flagged: dict[str, dict[str, str]] = {}
-        for row in found.toLocalIterator():
-            flagged.setdefault(row["entity"], {})[row["term"]] = row["action"]
+        flagged = {row["term"]: row["action"] for row in found.toLocalIterator()}
         return docs.withColumn(out_col, _spans_column(text, spark.sparkContext.broadcast(flagged)))
 
-    # too many to broadcast: the contexts meet the flagged terms in a join, the texts their spans by a digest
+    # too many to broadcast: the words meet the flagged terms in a join, the texts their spans by a digest
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(key, e, t, s, end) for key, value in zip(batch["key"], batch["text"], strict=True) for e, t, s, end, _ in contexts(value, base_spans(value))]
-            yield pd.DataFrame(rows, columns=["key", "entity", "term", "start", "end"]).astype({"key": object, "entity": object, "term": object, "start": "int32", "end": "int32"})
+            for key, value in zip(batch["key"], batch["text"], strict=True):
+                rows = [(key, t, s, end) for t, s, end in free_words(value, base_spans(value))]
+                yield pd.DataFrame(rows, columns=["key", "term", "start", "end"]).astype({"key": object, "term": object, "start": "int32", "end": "int32"})
 
     keyed = docs.select(F.sha2(text, 256).alias("key"), text.alias("text"))
-    more = keyed.mapInPandas(near, "key string, entity string, term string, start int, end int").distinct().join(found, ["entity", "term"])
     key, extra = free_name(docs, "_key"), free_name(docs, "_more")
+    more = keyed.mapInPandas(near, "key string, term string, start int, end int").join(found, "term")
     more = more.groupBy("key").agg(F.collect_set(F.struct(F.col("action").alias("kind"), "start", "end")).alias(extra))
     out = docs.withColumn(key, F.sha2(text, 256)).join(more.withColumnRenamed("key", key), key, "left").drop(key)
     base = _spans_column(text, spark.sparkContext.broadcast(None))
