@@ -14,3 +14,18 @@ def corpus(spark, copies):
 def test_copies_lower_no_disclosure(spark):
     once, often = ({r["term"]: (r["action"], round(r["disclosed"], 9)) for r in pii.disclosing(corpus(spark, n)).collect()} for n in (1, 40))
     assert once == often and once["zorblax"] == ("remove", 1.0)
+
+
+def test_a_flagged_term_is_marked_in_the_whole_of_every_text(spark):
+    rows = [f"word{i} filler{i} Zorblax wrote to bob@site.org about {FAR} again Zorblax, ended{i}" for i in range(4)]
+    rows += [f"{FAR} nothing here but Zorblax", "Zorblaxian is another word"] + [f"plain text number{i} wrote about" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert not any("Zorblax" in clean[i].split() or "Zorblax," in clean[i] for i in range(5))
+    assert clean[5] == rows[5] and all(clean[i] == rows[i] for i in range(6, len(rows)))
+
+
+def test_terms_far_from_the_entity_count(spark):
+    rows = [f"word{i} to bob@site.org about {FAR} at Quuxly, ended{i}" for i in range(4)] + [f"plain text number{i} about" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r["term"] for r in pii.disclosing(docs).collect()} >= {"quuxly"}
