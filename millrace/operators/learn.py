@@ -82,11 +82,18 @@ def weights(rows: DataFrame) -> DataFrame:
     return out.withColumn("train_weight", F.when(F.col("reviewed"), F.col("weight") * F.col("_typical")).otherwise(F.col("weight"))).drop("_typical")
 
 
-def train_gbt(rows: DataFrame, trees: int = 120, depth: int = 4, rate: float = 0.08, seed: int = 7):
-    """A gradient-boosted model of Spark ML on (vector, label, train_weight)."""
+class TooFewRows(ValueError):
+    """There is not enough to train on."""
+
+
+def train_gbt(rows: DataFrame, trees: int = 120, depth: int = 4, rate: float = 0.08, seed: int = 7, min_rows: int = MIN_ROWS, min_incidents: int = MIN_INCIDENTS):
+    """A gradient-boosted model of Spark ML on (vector, label, train_weight); TooFewRows under the least rows or incidents."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("incidents")).first()
+    if seen["n"] < min_rows or seen["incidents"] < min_incidents:
+        raise TooFewRows(f"{seen['n']} rows with {seen['incidents']} incidents; {min_rows} and {min_incidents} are needed")
     data = rows.select(array_to_vector(vector()).alias("features"), F.col("label").cast("double").alias("label"), "train_weight")
     return GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed, weightCol="train_weight").fit(data)
 

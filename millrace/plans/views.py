@@ -13,6 +13,8 @@ from millrace.functions.clean import clean_events
 from millrace.operators.features import rolling_features
 from millrace.operators.rules import score_events
 from millrace.settings import SPARSE
+from millrace.sources.tables import write_events
+from millrace.workspace import derived, spread
 
 MESSAGES = ["internal compiler error: in expand", "Killed", "write failed: No space left on device", "checksum mismatch for entry", "expected ';' before", "undefined reference to main", "AssertionError: 1 != 2", "test timed out"]
 
@@ -36,8 +38,13 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw build events as a topic keeps them: made from the table once, then read by every query."""
+    return derived(spark, f"{sf_dir}/events.parquet", "topic", lambda path: producer(spark, sf_dir).write.parquet(path))
+
+
+def producer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw build events: texts as a producer might write them, some of them to be refused."""
-    e = source(spark, sf_dir)
+    e = spread(source(spark, sf_dir))
     c, k, kind, when, lit = F.col, F.col("k"), F.col("kind"), F.when, F.lit
     none = lit(None).cast("string")
     click, view, purchase, error = (kind == x for x in ("click", "view", "purchase", "error"))
@@ -89,10 +96,22 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_features(clean(spark, sf_dir), SPARSE)
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over the topic: cleaning, features, rules and model policy."""
     return score_events(features(spark, sf_dir), SPARSE)
 
 
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decisions as the job stores them, in the event table's layout; rollups, checks and investigations read this."""
+    days = 30
+
+    def write(path: str) -> None:
+        rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+        write_events(decided(spark, sf_dir), path, files_a_day=1 + rows // (days * 1_000_000), mode="errorifexists")
+
+    return derived(spark, f"{sf_dir}/events.parquet", "decisions", write)
+
+
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions as stored at least once: some rows twice, the copy ingested later."""
     s = scored(spark, sf_dir)

@@ -70,25 +70,22 @@ def decode(df: DataFrame, versions: dict[int, list[str] | None] | None = None) -
     """
     versions = versions or VERSIONS
     out = df if "payload" in df.columns else split_frame(df)
-    text = F.decode("payload", "UTF-8")
-    all_fields = payload_schema()
-    decoded = F.lit(None).cast(all_fields)
-    for version, names in versions.items():
-        known = payload_schema(names)
-        parsed = F.from_json(text, known, {"mode": "PERMISSIVE"})
-        whole = F.struct(*[parsed[f.name].alias(f.name) if f.name in known.fieldNames() else F.lit(None).cast(f.dataType).alias(f.name) for f in all_fields])
-        decoded = F.when(F.col("schema_id") == version, whole).otherwise(decoded)
-    out = out.withColumn("_event", decoded)
+    known = F.col("schema_id").isin(list(versions))
+    # one parse with every field; what a version lacks is taken out again
+    parsed = F.when(F.coalesce(known, F.lit(False)), F.from_json(F.decode("payload", "UTF-8"), payload_schema(), {"mode": "PERMISSIVE"}))
+    has = {f: [v for v, names in versions.items() if names is None or f in names] for f in fields()}
+    field = {f: F.col(f"_event.{f}") if len(v) == len(versions) else F.when(F.col("schema_id").isin(v), F.col(f"_event.{f}")) for f, v in has.items()}
     error = F.coalesce(
         F.col("wire_error"),
-        F.when(~F.col("schema_id").isin(list(versions)), "unknown_schema_version"),
+        F.when(~known, "unknown_schema_version"),
         F.when(F.col("_event.event_id").isNull(), "undecodable_payload"),
     )
-    out = out.withColumn("wire_error", error)
     taken = set(fields())
-    kept = [F.col(f"`{c}`") for c in out.columns if c not in taken and c not in ("_event", "payload", "timestamp")]
+    kept = [F.col(f"`{c}`") for c in out.columns if c not in taken and c not in ("wire_error", "payload", "timestamp")]
     at = [F.col("timestamp").alias("appended_at")] if "timestamp" in out.columns else []
-    return out.select(*kept, *at, *[F.col(f"_event.{c}").alias(c) for c in fields()])
+    one = F.struct(*kept, *at, error.alias("wire_error"), *[c.alias(f) for f, c in field.items()])
+    # a generator keeps later filters and checks from being pushed below the parse and repeating it
+    return out.withColumn("_event", parsed).select(F.inline(F.array(one)))
 
 
 def dead_letters(rejected: DataFrame, raw: str = "value", at: str = "appended_at") -> DataFrame:
