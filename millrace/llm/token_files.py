@@ -16,7 +16,7 @@ first; equal ids follow each other ordered by text. An empty table writes no fil
 from __future__ import annotations
 
 import os
-import sys
+import re
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
@@ -37,15 +38,22 @@ from millrace.llm.common import materialize, shared_dir, text_or_empty
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 LEVEL = 3
 MOST_WORDS = 300_000
-#: All white space but the blank and the line end.
-RARE_BLANKS = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n"]
+#: Texts with a blank that is not between two other characters, or with white space other than the blank and the line end.
+ODD_BLANKS = r"^ | $|  | \n|\n |[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: A word of letters with signs or digits after it: Latin letters, which every pattern takes for such, and no apostrophe.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_SIMPLE = re.compile(f"([{LETTERS}]+)([!-&(-@\\[-`{{-~]*)")
+#: Rows and bytes of text that are encoded at once, but for a longer single text.
+AT_ONCE, BYTES_AT_ONCE = 1_024, 4 << 20
 
 
 class WordEncoder:
     """Whole texts through the tokenizers library, words remembered (bounded).
 
-    A byte-level pattern always starts a new match at a blank between two other characters, so texts are cut there, each
-    new word goes through the library once, all of a batch in one call, and the ids are put together again.
+    A byte-level pattern always starts a new match at a blank between two other characters, so texts are cut there. Arrow
+    cuts a batch and finds its different words, and the ids of the texts are gathered from those of the words. Of a new word
+    of letters with marks after it the letters go straight to the library's model, for a match ends where letters end; all
+    else goes through the library as it is, many words in one call. Of remembered words those not met lately are forgotten.
     """
 
     def __init__(self, path: str, most_words: int = MOST_WORDS):
@@ -53,18 +61,65 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library, self.most_words = Tokenizer.from_file(path), most_words
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.token_bytes = np.zeros(self.library.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in self.library.get_vocab(with_added_tokens=True).items():
+            self.token_bytes[i] = len(token) if token in vocabulary else len(token.encode())  # a character of a token is a byte
+        for i, token in self.library.get_added_tokens_decoder().items():
+            self.token_bytes[i] = len(token.content.encode())
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        seen = lambda text: [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(text)] if self.library.pre_tokenizer else []
+        latin = [chr(c) for c in range(0xC0, 0x250) if chr(c).isalpha()]
+        self.letters = str.maketrans({c: "".join(seen(c)) for c in [" ", *latin]})
+        self.cuttable = self.library.normalizer is None and seen(" ab.c1 d\u00e9e,") == [x.translate(self.letters) for x in (" ab", ".", "c", "1", " d\u00e9e", ",")]
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def _encode(self, chunks: list[str], at_once: int = 2_000) -> list[bytes]:
+        """The ids of each chunk, which the library takes as words cut before; they end where their bytes do."""
+        out: list[bytes] = []
+        parts = [chunks[k : k + at_once] for k in range(0, len(chunks), at_once)]
+        for part, e in zip(parts, self.library.encode_batch_fast(parts, is_pretokenized=True, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            token_ends = np.cumsum(self.token_bytes[ids])
+            ends = np.cumsum([len(c.encode()) for c in part])
+            at = np.searchsorted(token_ends, ends, "right")
+            if not np.array_equal(np.concatenate(([0], token_ends))[at], ends):  # a library that does not keep bytes
+                out += [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(part, add_special_tokens=False)]
+                continue
+            raw, at = ids.tobytes(), (4 * at).tolist()
+            out += [raw[a:b] for a, b in zip([0, *at[:-1]], at, strict=True)]
+        return out
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words with a blank before each."""
+        out, tokenize, letters, marks = [b""] * len(words), self.library.model.tokenize, self.letters, self.marks
+        simple, blank, whole = _SIMPLE.fullmatch if self.cuttable else (lambda w: None), self.letters[32], []
+        for k, word in enumerate(words):
+            found = simple(word)
+            if found is None or self.added.search(word):
+                whole.append(k)
+                continue
+            run, after = found.groups()
+            run = blank + (run if run.isascii() else run.translate(letters))
+            ids = array("I", [t.id for t in tokenize(run)]).tobytes()
+            if after:
+                if after not in marks:
+                    marks[after] = self._encode([after])[0]
+                ids += marks[after]
+            out[k] = ids
+        for k, ids in zip(whole, self._encode([" " + words[k] for k in whole]), strict=True):
+            out[k] = ids
+        if len(marks) > 100_000:
+            marks.clear()
+        return out
 
     @staticmethod
     def cut(text: str) -> list[str]:
         """Pieces whose encodings join to that of the text; all but the first begin with a blank that is left out here."""
         parts = text.split(" ")
-        if "" not in parts and " \n" not in text and "\n " not in text and not any(c in text for c in RARE_BLANKS):
-            return parts
         out = parts[:1]
         for p in parts[1:]:
             if p and out[-1] and not p[0].isspace() and not out[-1][-1].isspace():
@@ -73,22 +128,50 @@ class WordEncoder:
                 out[-1] += " " + p
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cuts = [self.cut(t) for t in texts]
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a blank before it."""
         known, older = self.recent, self.older
-        missing = set().union(*[cut[1:] for cut in cuts]).difference(known)
-        again = missing & older.keys()
-        known.update({w: older[w] for w in again})
-        new = list(missing - again)
-        for k in range(0, len(new), 50_000):
-            part = new[k : k + 50_000]
-            known.update(zip(part, self._encode([" " + w for w in part]), strict=True))
-        firsts = self._encode([cut[0] for cut in cuts])
-        get = known.__getitem__
-        out = [first + b"".join(map(get, cut[1:])) for first, cut in zip(firsts, cuts, strict=True)]
-        if len(known) > self.most_words:
-            self.recent, self.older = {}, {w: i for w, i in known.items() if len(w) <= 64}
+        out = list(map(known.get, words))
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        for k in missing:
+            out[k] = older.get(words[k])
+        new = [k for k in missing if out[k] is None]
+        for k, ids in zip(new, self._new_words([words[k] for k in new]), strict=True):
+            out[k] = ids
+        known.update({words[k]: out[k] for k in missing})
+        return out
+
+    def _forget(self) -> None:
+        if len(self.recent) > self.most_words:
+            self.recent, self.older = {}, {w: i for w, i in self.recent.items() if len(w) <= 64}
+
+    def encode_batch(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        odd = np.asarray(pc.match_substring_regex(texts, ODD_BLANKS))
+        plain = texts if not odd.any() else pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts)
+        split = pc.split_pattern(plain, " ")
+        at = np.asarray(split.offsets) - split.offsets[0].as_py()
+        words = pc.dictionary_encode(split.flatten())
+        listed, index = words.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(words.indices).astype(np.int64)
+        first = [listed[k] for k in index[at[:-1]]]
+        index[at[:-1]] = len(listed) + np.arange(len(first))  # a text's first word has no blank before it
+        ids = [*self._words(listed), *self._encode(first)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, flat = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(ids), "<u4")
+        n = lengths[index]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        gathered = flat[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[at]).tolist()
+        out = [gathered[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        for k in np.flatnonzero(odd).tolist():
+            head, *rest = self.cut(texts[k].as_py())
+            different = list(dict.fromkeys(rest))
+            of = dict(zip(different, self._words(different), strict=True))
+            out[k] = self._encode([head])[0] + b"".join([of[w] for w in rest])
+        self._forget()
         return out
 
 
@@ -97,9 +180,25 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+@lru_cache(maxsize=1)
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=True)
+
+
 def frame(ids: bytes) -> tuple[bytes, int]:
     """A document's frame, and its checksum: the low 32 bits of xxh64."""
-    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=True).compress(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF
+    return _compressor().compress(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = AT_ONCE, most: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """batch in slices of at most so many rows, and bytes of a text column but for a single longer text."""
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(size, before + most, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def _skippable(magic: int, body: bytes) -> bytes:
@@ -132,13 +231,14 @@ class Reader:
         nulls = np.frombuffer(index, np.uint8, n, 8 * n)
         self.doc_ids = [None if null else int(d) for d, null in zip(np.frombuffer(index, "<i8", n), nulls, strict=True)]
         self.at = np.concatenate(([0], np.cumsum(self.sizes[:, 0], dtype=np.int64)))
+        self.decompressor = zstandard.ZstdDecompressor()
 
     def __len__(self) -> int:
         return len(self.sizes)
 
     def read(self, k: int) -> bytes:
         compressed, plain, check = map(int, self.sizes[k])
-        ids = zstandard.ZstdDecompressor().decompress(self.file.read_at(compressed, int(self.at[k])), max_output_size=plain)
+        ids = self.decompressor.decompress(self.file.read_at(compressed, int(self.at[k])), max_output_size=plain)
         if len(ids) != plain or xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF != check:
             raise ValueError(f"document {k} of the file is damaged")
         return ids
@@ -151,14 +251,15 @@ class Reader:
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one, as a URI."""
+    """A new folder below the shared one, as a URI; a folder without a scheme is one of Spark's default file system."""
     base = shared_dir(spark)
-    if "://" not in base and not base.startswith("file:"):
-        base = f"file://{base}"
+    if ":" not in base.split("/")[0]:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        base = f"{default.rstrip('/')}{base}" if not default.startswith("file:") else f"file://{base}"
     return f"{base.rstrip('/')}/tokens-{uuid.uuid4().hex}"
 
 
-def write(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> DataFrame:
+def write(docs: DataFrame, encode: Callable[[pa.Array], list[bytes]], end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> DataFrame:
     """Write docs to files in folder; the manifest (file int, uri string, n_docs long, n_ids long), one row for each file.
 
     The rows are dealt by ranges of doc_id as text and encoded after that, so the costly step runs once and evenly, and
@@ -173,10 +274,9 @@ def write(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], end_id: i
         part, attempt = task.partitionId(), task.taskAttemptId()
         doc_ids, sizes, n_ids, out, mine = [], [], 0, None, f"{root}/.writing-{part:06d}-{attempt}"
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                few = batch.slice(k, 256)
+            for few in slices(batch, 1):
                 doc_ids += few.column(0).to_pylist()
-                for ids in encode(few.column(1).to_pylist()):
+                for ids in encode(few.column(1)):
                     ids += end
                     raw, check = frame(ids)
                     if out is None:
