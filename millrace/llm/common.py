@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.workspace import materialize, shared_dir
+
+__all__ = ["BROADCAST_ROWS", "WORD", "bound_batches", "bounded_broadcast", "documents", "free_name", "materialize", "shared_dir", "skew_join", "text_or_empty"]
+
 #: Word characters of every size and shingle contract: all but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -14,28 +16,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="millrace-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute df once and cut its lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def bounded_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has been counted at no more than limit rows, else as it is."""
     return F.broadcast(df) if rows <= limit else df
 
 
+def skew_join(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
+    """left joined with right, one row for each key of left with n, how many of the total rows of left have it; n goes.
+
+    Keys of more rows than a limit are joined by broadcast, so their rows stay where they are; the limit grows with the
+    total, so at most BROADCAST_ROWS keys can pass it. All others are joined by a shuffle that no hot key takes part in.
+    """
+    limit = max(1_000, total // BROADCAST_ROWS)
+    hot, rest = right.filter(F.col("n") > limit).drop("n"), right.filter(F.col("n") <= limit).drop("n")
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
+    return cold.unionByName(left.join(F.broadcast(hot), key))
+
+
 def bound_batches(spark: SparkSession, rows: int = 512) -> None:
     """Let an Arrow batch of the session hold at most so many rows: whole texts can be long, and a task holds some batches."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

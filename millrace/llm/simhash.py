@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bound_batches, bounded_broadcast, free_name, materialize, text_or_empty
+from millrace.llm.common import bound_batches, bounded_broadcast, free_name, materialize, skew_join, text_or_empty
 from millrace.llm.components import components
 
 WIDTH, SEED, DISTANCE = 5, 42, 4
@@ -100,12 +100,12 @@ def near_duplicates(
     bound_batches(docs.sparkSession)
     prints = docs.select(F.col(id_col).alias("id"), fingerprint(text_or_empty(text_col), width).alias("fp"))
     prints = materialize(prints)
-    unique = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    found = components(materialize(links(unique, distance)))
-    rooted = unique.join(found, unique["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    unique = materialize(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")))
+    found = components(materialize(links(unique.select("fp"), distance)))
+    rooted = materialize(unique.join(found, unique["fp"] == found["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    named = skew_join(rooted.withColumnRenamed("n", "copies"), smallest, "root", rooted.count()).select("fp", "component_id", F.col("copies").alias("n"))
+    return skew_join(prints, named, "fp", prints.count()).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -223,10 +223,11 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """The rows of docs of which each group of near-copies keeps one, that of its smallest id (repeated rows: one of them).
+    """The rows of docs of which each group of near-copies keeps one: that of its smallest id, of equal ids the smaller node.
 
-    Near-copies are components of similar(): texts whose shingle sets have a similarity of 0.8 or more. Of rows with a null
-    id one for each node is kept, if no row of its group has an id.
+    Near-copies are components of similar(): texts whose shingle sets have a similarity of 0.8 or more. A row is known by its
+    id and its text, so rows of one id and unrelated texts all stay; of rows equal in both, the first by its JSON stays. A
+    group whose ids are all null keeps one row too.
     """
 
     @F.pandas_udf("long")
@@ -245,21 +246,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     unique = materialize(prints.groupBy("node").agg(F.first("f").alias("f"), F.min("id").alias("least")))
     found = components(similar(unique.select("node", "f"), docs.select(number(text).alias("node"), text.alias("text")), width))
     rooted = unique.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
-    # the first of a group by id; without any id, every node of it
-    kept = rooted.join(first, "root").filter(F.col("least").eqNullSafe(F.col("first"))).select("node", F.col("first").alias("kept_id"))
-    kept = materialize(kept)
-    rows = prints.join(kept, "node").filter(F.col("id").eqNullSafe(F.col("kept_id"))).select("kept_id", F.lit(1).alias("n"), "node")
-    rows = materialize(rows.groupBy("kept_id", F.when(F.col("kept_id").isNull(), F.col("node")).alias("node")).agg(F.sum("n").alias("n")))
-    named = rows.filter("kept_id is not null").select("kept_id")
-    wanted = free_name(docs, "_kept")
-    named = named.select(F.col("kept_id").alias(wanted))
-    out = docs.join(bounded_broadcast(named, named.count()), docs[id_col] == F.col(wanted), "left_semi")
-    if not rows.filter("kept_id is not null and n > 1").isEmpty():
-        out = out.dropDuplicates([id_col])
-    if rows.filter("kept_id is null").isEmpty():
-        return out
-    name = free_name(docs, "_node")
-    nameless = docs.filter(F.col(id_col).isNull()).withColumn(name, number(text)).dropDuplicates([name])
-    ones = rows.filter("kept_id is null").select(F.col("node").alias(name))
-    return out.unionByName(nameless.join(ones, name, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "node")).alias("best"))
+    key, node, again = (free_name(docs, n) for n in ("_kept_id", "_kept_node", "_node"))
+    kept = materialize(best.select(F.col("best.least").alias(key), F.col("best.node").alias(node)))
+    same = lambda left, i, n: left[i].eqNullSafe(F.col(key)) & (left[n] == F.col(node))
+    repeated = prints.groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = materialize(kept.join(repeated, same(repeated, "id", "node"), "left_semi"))
+    keyed = docs.withColumn(again, number(text))
+    out = keyed.join(bounded_broadcast(kept, kept.count()), same(keyed, id_col, again), "left_semi")
+    if repeated.isEmpty():
+        return out.drop(again)
+    repeated = bounded_broadcast(repeated, repeated.count())
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = free_name(docs, "_row")
+    many = out.join(repeated, same(out, id_col, again), "left_semi")
+    many = many.groupBy(id_col, again).agg(F.min_by(F.struct(*columns), F.to_json(F.struct(*columns))).alias(row)).select(f"{row}.*")
+    return out.join(repeated, same(out, id_col, again), "left_anti").drop(again).unionByName(many)
