@@ -242,12 +242,18 @@ class Codec:
         return out
 
     def decode_stream(self, ids: Iterable[int], at_once: int = 8192) -> Iterator[tuple[bytes, str]]:
-        """Bytes and text by and by; a character split over two steps is held back by the UTF-8 state machine until it is whole."""
-        machine, ids, of = codecs.getincrementaldecoder("utf-8")("replace"), list(ids), self.bytes_of
+        """Bytes taken in and text given out by and by; a character split over two steps is held back by the UTF-8 state machine
+        until it is whole. A byte that is no UTF-8 comes out as a lone surrogate, so that none is lost."""
+        machine, ids, of = codecs.getincrementaldecoder("utf-8")("surrogateescape"), list(ids), self.bytes_of
         for k in range(0, len(ids), at_once):
             raw = b"".join([of[i] for i in ids[k : k + at_once]])
             yield raw, machine.decode(raw, k + at_once >= len(ids))
 
+    def decode(self, ids: Iterable[int]) -> str:
+        """The text of ids; bytes that are no UTF-8 as the replacement character."""
+        text = "".join([t for _, t in self.decode_stream(ids)])
+        return text if text.isascii() else text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+
 
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str, most_words: int = MOST_WORDS, most_states: int = MOST_STATES) -> Codec:
@@ -255,8 +261,11 @@ def codec(path: str, pattern: str, most_words: int = MOST_WORDS, most_states: in
     return Codec(load_ranks(path), pattern, most_words, most_states)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text", at_once: int = 256, **bounds: int) -> DataFrame:
-    """docs with n_tokens (long) and ids (array<int>). A task holds the ids of `at_once` documents at a time; bounds are those of codec()."""
+def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text", at_once: int = 256, verify: bool = False, **bounds: int) -> DataFrame:
+    """docs with n_tokens (long) and ids (array<int>). A task holds the ids of `at_once` documents at a time; bounds are those of codec().
+
+    With verify each document is decoded again in the same task, and one that does not come back as it was ends the job.
+    """
     bound_batches(docs.sparkSession)
     docs = docs.drop("n_tokens", "ids")
     at = docs.columns.index(text_col)
@@ -267,7 +276,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "
         for batch in batches:
             for k in range(0, batch.num_rows, at_once):
                 part = batch.slice(k, at_once)
-                found = [np.array(coder.encode(t or ""), np.int32) for t in part.column(at).to_pylist()]
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                found = [np.array(coder.encode(t), np.int32) for t in texts]
+                if verify and any(coder.decode(ids.tolist()) != t for ids, t in zip(found, texts, strict=True)):
+                    raise ValueError("a document does not decode to its text")
                 n = np.array([len(x) for x in found], np.int64)
                 ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
@@ -283,7 +295,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids_col: str =
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = codec(path, pattern)
         for batch in batches:
-            yield pd.Series([None if x is None else "".join(t for _, t in coder.decode_stream(x)) for x in batch], dtype=object)
+            yield pd.Series([None if x is None else coder.decode(x) for x in batch], dtype=object)
 
     return encoded.withColumn("decoded", of(F.col(ids_col)))
 
@@ -303,8 +315,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             for text in batch.column(1):
                 ids = coder.encode(text.as_py())
                 raw = hashlib.sha256()
-                for part, _ in coder.decode_stream(ids):
-                    raw.update(part)
+                for _, part in coder.decode_stream(ids):
+                    raw.update(part.encode("utf-8", "surrogateescape"))
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(",".join(map(digits, ids)).encode()).hexdigest())
                 text_hash.append(raw.hexdigest())
