@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bounded_broadcast, free_name, materialize, text_or_empty
@@ -24,6 +24,16 @@ NFKC = ("com.ibm.icu.text.Normalizer", "compose")
 FOLD = ("com.ibm.icu.lang.UCharacter", "foldCase")
 #: Rows that a bucket of next_document holds on average, and the most buckets (the boundaries are a literal of the plan).
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 65_536
+#: Members of a group that meet its head in one place.
+PART_ROWS = 256
+
+
+def require_library(spark: SparkSession) -> None:
+    """Fail at once, and plainly, where the Unicode library is not on Spark's class path."""
+    try:
+        spark.range(1).select(F.reflect(F.lit(FOLD[0]), F.lit(FOLD[1]), F.lit("A"), F.lit(True))).schema  # noqa: B018
+    except Exception as e:
+        raise RuntimeError(f"the canonical form needs the class {FOLD[0]}, which Spark's own jars hold (icu4j)") from e
 
 
 def canonical(text: Column) -> Column:
@@ -52,6 +62,7 @@ def exact_groups(docs: DataFrame, prints: DataFrame | None = None, id_col: str =
     of docs where it is at hand already.
     """
     i, t = F.col(id_col), text_or_empty(text_col)
+    require_library(docs.sparkSession)
     if prints is None:
         prints = materialize(docs.select(i.alias("id"), fingerprint(t).alias("fingerprint")))
     seen = prints.groupBy("fingerprint").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -62,7 +73,12 @@ def exact_groups(docs: DataFrame, prints: DataFrame | None = None, id_col: str =
     form = docs.select(i.alias("id"), canonical(t).alias("form"))
     first_form = form.join(bounded_broadcast(heads, rows), "id").groupBy("head_of").agg(F.min("form").alias("head_form"))
     members = form.withColumn("fingerprint", fingerprint_of(F.col("form"))).join(few, "fingerprint")
-    compared = members.join(first_form, members["fingerprint"] == first_form["head_of"], "left")
+    # a large group is dealt over parts, each with the head's form, so that none is one task
+    parts = F.ceil(F.col("n") / PART_ROWS).cast("int")
+    members = members.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    first_form = first_form.join(few.select(F.col("fingerprint").alias("head_of"), "n"), "head_of")
+    first_form = first_form.select(F.col("head_of"), "head_form", F.explode(F.sequence(F.lit(0), parts - 1)).alias("head_part"))
+    compared = members.join(first_form, (members["fingerprint"] == first_form["head_of"]) & (members["part"] == first_form["head_part"]), "left")
     # members that differ from the compared one: a collision, grouped exactly by their bytes
     odd = materialize(
         compared.filter(~F.col("form").eqNullSafe(F.col("head_form")) & F.col("first").isNotNull()).select("id", "fingerprint", "form")
