@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import materialize
 
 SAMPLE, ROWS, PART, SEED = 20_000, 4_096, 1_024, 11
-RECALL, SLACK, BLOCKS = 0.97, 2.1, 4
+RECALL, SLACK, BLOCKS, AT_ONCE = 0.97, 2.1, 4, 256
 MOST_LISTS = 4_096
 
 
@@ -68,31 +68,31 @@ def probes_for(sample: np.ndarray, centres: np.ndarray, k: int, recall: float) -
     return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1
 
 
-def scan(queries: np.ndarray, q_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, turn: np.ndarray, blocks: int = BLOCKS, slack: float = SLACK) -> pd.DataFrame:
-    """The k best of rows for each query: (query, vec_id, score). Candidates are abandoned as the module says."""
-    dims = rows.shape[1]
+def scan(queries: pd.DataFrame, rows: pd.DataFrame, k: int, blocks: int = BLOCKS, slack: float = SLACK, at_once: int = AT_ONCE) -> pd.DataFrame:
+    """The k best of rows (id, v, y) for each of queries (q, v, y, bound): (query, vec_id, score).
+
+    Rows come in portions. A candidate is given up in the block of dimensions in which its partial distance shows it to be
+    over the bound, the k-th best found so far: that of the query's earlier lists at first, and lower after each portion.
+    """
+    y, ids, v = np.stack(rows["y"].to_list()).astype(float), rows["id"].to_numpy(), np.stack(rows["v"].to_list()).astype(float)
+    dims, found = y.shape[1], []
     cuts = np.linspace(0, dims, min(blocks, dims) + 1).astype(int)
-    x, y = unit(queries) @ turn, unit(rows) @ turn
-    found = []
-    for i in range(len(x)):
-        # the bound comes from the exact distances of a first few, then only falls
-        first = min(len(y), max(4 * k, 32))
-        exact = ((y[:first] - x[i]) ** 2).sum(1)
-        bound = np.partition(exact, k - 1)[k - 1] if first >= k else np.inf
-        live, part = np.arange(len(y)), np.zeros(len(y))
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            part = part + ((y[live, a:b] - x[i, a:b]) ** 2).sum(1)
-            if b == dims:
-                keep = part <= bound * (1 + 1e-9) + 1e-12
-            else:
-                keep = part * (dims / b) <= bound * (1 + slack / np.sqrt(b)) ** 2 + 1e-12
-            live, part = live[keep], part[keep]
-        if len(live) > 4 * k:
-            edge = np.partition(part, k - 1)[k - 1]
-            live = live[part <= edge * (1 + 1e-9) + 1e-12]
-        score = cosine(rows[live], queries[i][None, :])
-        best = np.lexsort((ids[live], -score))[:k]
-        found.append(pd.DataFrame({"query": q_ids[i], "vec_id": ids[live][best], "score": score[best]}))
+    for q, own, x, bound in zip(queries["q"], queries["v"], queries["y"], queries["bound"].to_numpy(float), strict=True):
+        x = np.asarray(x, float)
+        best_at, best = np.empty(0, int), np.empty(0)
+        for first in range(0, len(y), at_once):
+            live, part = np.arange(first, min(first + at_once, len(y))), 0.0
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                part = part + ((y[live, a:b] - x[a:b]) ** 2).sum(1)
+                over = bound + 1e-6 if b == dims else bound * (1 + slack / np.sqrt(b)) ** 2 * b / dims + 1e-6
+                live, part = live[part <= over], part[part <= over]
+            best_at, best = np.concatenate((best_at, live)), np.concatenate((best, part))
+            if len(best) > k:
+                bound = min(bound, np.partition(best, k - 1)[k - 1])
+                best_at, best = best_at[best <= bound + 1e-6], best[best <= bound + 1e-6]
+        score = cosine(v[best_at], np.asarray(own, float)[None, :])
+        order = np.lexsort((ids[best_at], -score))[:k]
+        found.append(pd.DataFrame({"query": q, "vec_id": ids[best_at][order], "score": score[order]}))
     return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
 
@@ -125,32 +125,43 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     del points
     shared = spark.sparkContext.broadcast((centres, rotation(dims, seed)))
 
-    @F.pandas_udf("array<int>")
-    def lists_of(v: pd.Series, n: pd.Series) -> pd.Series:
+    @F.pandas_udf("lists array<int>, y array<float>")
+    def placed(v: pd.Series, n: pd.Series) -> pd.DataFrame:
         if not len(v):
-            return pd.Series([], dtype=object)
-        near = unit(np.stack(v.to_list())) @ shared.value[0].T
-        wanted = int(n.iloc[0])
+            return pd.DataFrame({"lists": [], "y": []}, dtype=object)
+        x = unit(np.stack(v.to_list()))
+        near, wanted = x @ shared.value[0].T, int(n.iloc[0])
         top = np.argmax(near, axis=1)[:, None] if wanted == 1 else np.argsort(-near, axis=1)[:, :wanted]
-        return pd.Series(list(top.astype(np.int32)), dtype=object)
-
-    index = materialize(index.select("id", "v", F.get(lists_of("v", F.lit(1)), 0).alias("list")))
-    unique = asked.groupBy("v").agg(F.min("id").alias("q"))
-    unique = materialize(unique.select("q", "v", F.explode(lists_of("v", F.lit(probes))).alias("list")))
-    chunk_of = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("chunks"))
-    part_of = unique.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
-    deal = F.broadcast(chunk_of.join(part_of, "list"))  # a row for each list, MOST_LISTS at most
+        return pd.DataFrame({"lists": list(top.astype(np.int32)), "y": list((x @ shared.value[1]).astype(np.float32))})
+
+    # the index: every vector with its list, turned once
+    index = index.select("id", "v", placed("v", F.lit(1)).alias("p"))
+    index = materialize(index.select("id", "v", "p.y", F.get("p.lists", 0).alias("list")))
+    unique = asked.groupBy("v").agg(F.min("id").alias("q")).select("q", "v", placed("v", F.lit(probes)).alias("p"))
+    unique = materialize(unique.select("q", "v", "p.y", F.posexplode("p.lists").alias("at", "list")))
+    sizes = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("chunks"))
     deal_all = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = index.join(deal, "list").select("list", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), deal_all("parts").alias("part"), "id", "v")
-    ask = unique.join(deal, "list").select("list", deal_all("chunks").alias("chunk"), F.pmod(F.xxhash64("q"), "parts").cast("int").alias("part"), "q", "v")
+    keys = ["list", "chunk", "part"]
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query": [], "vec_id": [], "score": []}).astype({"query": "int64", "vec_id": "int64"})
-        return scan(np.stack(left["v"].to_list()), left["q"].to_numpy(), np.stack(right["v"].to_list()), right["id"].to_numpy(), k + 1, shared.value[1])
-
-    keys = ["list", "chunk", "part"]
-    found = ask.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInPandas(search, "query long, vec_id long, score double")
+        return scan(left, right, k + 1)
+
+    def visit(queries: DataFrame) -> DataFrame:
+        """The k + 1 best of each query in each of its lists. A list is dealt in chunks, its queries in parts."""
+        parts = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+        deal = F.broadcast(sizes.join(parts, "list"))  # a row for each list, MOST_LISTS at most
+        held = index.join(deal, "list").select("list", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), deal_all("parts").alias("part"), "id", "v", "y")
+        ask = queries.join(deal, "list").select("list", deal_all("chunks").alias("chunk"), F.pmod(F.xxhash64("q"), "parts").cast("int").alias("part"), "q", "v", "y", "bound")
+        return ask.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(search, "query long, vec_id long, score double")
+
+    # the nearest list first; the k-th best found there bounds the search of all others
+    nearest_list = materialize(visit(unique.filter("at = 0").withColumn("bound", F.lit(float("inf")))))
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    last = nearest_list.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") == k + 1).select(F.col("query").alias("q"), (F.lit(2.0) - 2 * F.col("score") + 1e-6).alias("bound"))
+    others = unique.filter("at > 0").join(last, "q", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    found = nearest_list.unionByName(visit(others))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).select("query", "vec_id", "score")
     # back to every query of the same vector, without its own row
