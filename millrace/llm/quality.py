@@ -163,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty("text").alias("text")).join(F.broadcast(known), "id")
     rows = rows.select("label", statistics_column(F.col("text")).alias("stats"))
-    return train(materialize(rows.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))))
+    return train(materialize(rows).coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism)))
 
 
 def classify(docs: DataFrame, model: RuleModel, id_col: str = "doc_id") -> DataFrame:
