@@ -32,7 +32,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, most_words=30_000, most_states=30_000)
+    # every text is decoded again in its task
+    encoded = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, most_words=30_000, most_states=30_000, verify=True)
     return encoded.select("doc_id", "source", "n_tokens", "ids")
 
 
