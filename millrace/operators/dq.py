@@ -178,6 +178,34 @@ def health(rates: DataFrame, min_rate: float = 1.0, max_lag_s: float = 120, min_
     return one.select(F.inline(checks)).withColumn("passed", passed)
 
 
+def health_issues(issue_shares: DataFrame, max_doubtful: float = 0.01) -> DataFrame:
+    """The transform stage's checks of the issue counts: shares()' one row. Nothing scored: no share to judge."""
+    item = lambda name, sev, op, at, value: F.struct(F.lit("transform").alias("stage"), F.lit(name).alias("check_name"), F.lit(sev).alias("severity"), F.lit(op).alias("op"), F.lit(float(at)).alias("threshold"), value.cast("double").alias("value"))
+    some = F.col("scored") > 0
+    rows = issue_shares.select(F.inline(F.array(item("doubtful_share", "warn", "<=", max_doubtful, F.col("doubtful_share")), item("logic_inconsistent", "fail", "==", 0, F.when(some, F.col("logic_inconsistent"))))))
+    v, t = F.col("value"), F.col("threshold")
+    return rows.withColumn("passed", F.coalesce(F.when(F.col("op") == "==", v == t).otherwise(v <= t), F.lit(True)))
+
+
+def health_intake(rates: DataFrame, stored: DataFrame, errors: DataFrame, now_ms: Column, min_rate: float = 1.0, last_ms: int = 60_000, max_p95_ms: float = 2000) -> DataFrame:
+    """The load stage's checks of what was stored: rows of the last minute (judged only while input arrives), p95 of the last
+    five minutes, intake errors (rows with failed_ms) of the last ten. Three one-row aggregates."""
+    arriving = rates.agg(F.coalesce(F.max(F.when(F.col("topic") == "raw", F.col("rate"))), F.lit(0.0)).alias("arriving"))
+    at = F.col("ingested_ms")
+    seen = stored.agg(F.count_if(at > now_ms - last_ms).alias("rows"), F.percentile(F.when(at > now_ms - 5 * last_ms, at - F.col("ts_ms")), 0.95).alias("p95"))
+    failed = errors.agg(F.count_if(F.col("failed_ms") > now_ms - 10 * last_ms).alias("failed"))
+    one = arriving.crossJoin(seen).crossJoin(failed)
+    item = lambda name, sev, op, at, value: F.struct(F.lit("load").alias("stage"), F.lit(name).alias("check_name"), F.lit(sev).alias("severity"), F.lit(op).alias("op"), F.lit(float(at)).alias("threshold"), value.cast("double").alias("value"))
+    rows = one.select(F.inline(F.array(
+        item("rows_last_minute", "fail", ">=", 1, F.when(F.col("arriving") >= min_rate, F.col("rows"))),
+        item("latency_p95_ms", "warn", "<=", max_p95_ms, F.col("p95")),
+        item("intake_errors", "warn", "==", 0, F.col("failed")),
+    )))
+    v, t = F.col("value"), F.col("threshold")
+    holds = F.when(F.col("op") == ">=", v >= t).when(F.col("op") == "==", v == t).otherwise(v <= t)
+    return rows.withColumn("passed", F.coalesce(holds, F.lit(True)))
+
+
 def healthy_recently(results: DataFrame, now_ms: Column, max_age_ms: int = 20 * 60_000) -> DataFrame:
     """One row: whether the latest run within the age had no failed fail-check and reached load; false without a run."""
     recent = results.filter(F.col("checked_ms") > now_ms - max_age_ms)

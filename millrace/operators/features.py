@@ -10,6 +10,8 @@ runner serves them all.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,19 +102,28 @@ def dedup_horizon(df: DataFrame, settings: Settings = LIVE, key: str = KEY) -> D
     """Drop an id that its runner sent before within the horizon of its newest event time.
 
     An id is remembered from its last accepted arrival; arrivals of an id that are each within the horizon of the one
-    before form a chain. The accepted ones of a chain are found by walking it: a fold over the (few) arrivals of one id.
+    before form a chain. Ids that came once stay as they are; the others are walked in order, holding the last accepted one.
     """
     out = df if "eff" in df.columns else with_effective_time(df, key)
-    groups = out.groupBy(key, "event_id").agg(F.array_sort(F.collect_list(F.struct(ORDER, "eff"))).alias("_arrivals"))
-    start = F.struct(F.lit(None).cast("long").alias("at"), F.array().cast("array<bigint>").alias("kept"))
-
-    def step(state: Column, row: Column) -> Column:
-        fresh = state["at"].isNull() | (row["eff"] - state["at"] > settings.horizon_ms)
-        return F.when(fresh, F.struct(row["eff"].alias("at"), F.concat(state["kept"], F.array(row[ORDER].cast("long"))).alias("kept"))).otherwise(state)
-
-    kept = groups.filter(F.size("_arrivals") > 1).select(key, "event_id", F.aggregate("_arrivals", start, step)["kept"].alias("_kept"))
-    out = out.join(kept, [key, "event_id"], "left")
-    return out.filter(F.col("_kept").isNull() | F.array_contains("_kept", F.col(ORDER).cast("long"))).drop("_kept")
+    horizon, offset_type = settings.horizon_ms, df.schema[ORDER].dataType.simpleString()
+    sent = Window.partitionBy(key, "event_id")
+    marked = out.withColumn("_arrivals", F.count(F.lit(1)).over(sent))
+    again = marked.filter("_arrivals > 1").select(key, "event_id", ORDER, "eff")
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, at = None, 0
+        for pdf in batches:
+            keep = []
+            for own, event, eff in zip(pdf[key], pdf["event_id"], pdf["eff"], strict=True):
+                fresh = (own, event) != last or eff - at > horizon
+                keep.append(fresh)
+                if fresh:
+                    last, at = (own, event), eff
+            yield pdf.loc[keep, [key, ORDER]]
+
+    kept = again.repartition(key, "event_id").sortWithinPartitions(key, "event_id", ORDER).mapInPandas(walk, f"{key} string, {ORDER} {offset_type}")
+    kept = kept.withColumn("_kept", F.lit(True))
+    return marked.join(kept, [key, ORDER], "left").filter((F.col("_arrivals") == 1) | F.col("_kept")).drop("_kept", "_arrivals")
 
 
 def id_prefix(event_id: Column) -> Column:
@@ -121,28 +132,31 @@ def id_prefix(event_id: Column) -> Column:
 
 
 def dedup_recent_n(df: DataFrame, settings: Settings = LIVE, key: str = KEY) -> DataFrame:
-    """Drop an id that is among the last N ids accepted from its runner: a ring, walked once for each runner."""
+    """Drop an id that is among the last N ids accepted from its runner: a ring, walked once for each runner.
+
+    Rows come sorted by runner and arrival and are walked batch by batch, so a task holds one ring and one batch.
+    """
     n = settings.recent_ids
     offset_type = df.schema[ORDER].dataType.simpleString()
 
-    def walk(groups: pd.DataFrame) -> pd.DataFrame:
-        pdf = groups.sort_values(ORDER)
-        ring: list[str | None] = [None] * n
-        held: set[str] = set()
-        at, keep = 0, []
-        for prefix in pdf["_id"]:
-            fresh = prefix not in held
-            keep.append(fresh)
-            if fresh:
-                if ring[at] is not None:
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runner, ring, held, at = object(), [], set(), 0
+        for pdf in batches:
+            keep = []
+            for own, prefix in zip(pdf[key], pdf["_id"], strict=True):
+                if own != runner:
+                    runner, ring, held, at = own, [None] * n, set(), 0
+                fresh = prefix not in held
+                keep.append(fresh)
+                if fresh:
                     held.discard(ring[at])
-                ring[at] = prefix
-                held.add(prefix)
-                at = (at + 1) % n
-        return pd.DataFrame({key: pdf[key], ORDER: pdf[ORDER]})[keep]
+                    ring[at] = prefix
+                    held.add(prefix)
+                    at = (at + 1) % n
+            yield pdf.loc[keep, [key, ORDER]]
 
     ids = df.select(key, ORDER, id_prefix(F.col("event_id")).alias("_id"))
-    kept = ids.groupBy(key).applyInPandas(walk, f"{key} string, {ORDER} {offset_type}")
+    kept = ids.repartition(key).sortWithinPartitions(key, ORDER).mapInPandas(walk, f"{key} string, {ORDER} {offset_type}")
     return df.join(kept, [key, ORDER], "left_semi")
 
 

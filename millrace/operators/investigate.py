@@ -66,3 +66,15 @@ def morning_list(events: DataFrame, last_ms: int = 86_400_000) -> DataFrame:
     """Per runner flagged in the last day: what fired, and when first and last."""
     flagged = within_last(events, last_ms).filter("recommended_action <> 'ok'")
     return flagged.groupBy("runner_ip").agg(F.count(F.lit(1)).alias("events"), F.max("final_anomaly_score").alias("strongest"), F.min("ts_ms").alias("first_ms"), F.max("ts_ms").alias("last_ms"))
+
+
+def detection_history(reports: DataFrame, last: int = 20) -> DataFrame:
+    """The newest evaluations: what was caught, how fast, and who was quarantined without cause."""
+    told = lambda name, kind: F.get_json_object("report", f"$.{name}").cast(kind).alias(name)
+    rows = reports.orderBy(F.desc("evaluated_ms")).limit(last)
+    return rows.select("evaluated_ms", told("incidents_seen", "long"), told("incidents_caught", "long"), told("median_time_to_flag_s", "double"), told("normal_quarantined_uninvolved", "long"), "passed", "failures")
+
+
+def ask(spark, text: str, tables: dict[str, DataFrame], **values) -> DataFrame:
+    """A stored question with named parameters (:name) over tables, which are bound by {name}."""
+    return spark.sql(text, args=values, **tables)

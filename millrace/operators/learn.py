@@ -193,15 +193,31 @@ def explain(trees: list[dict], x: Column, top: int = 3) -> Column:
 def average_precision(rows: DataFrame, score: str = "score", keys: list[str] | None = None) -> DataFrame:
     """Area under precision and recall over the ranked scores; ties by event_id. null without positives.
 
-    The ranking of a holdout runs within each key; a holdout is a sample, a fifth of the labelled rows.
+    No ranking in one task: rows fall into ranges of the order (a 1,024th of the score, then the id's first two characters);
+    the counts of the ranges, a small table, say how many rows and hits come before each, and ranks run within the ranges.
     """
     keys = keys or []
-    ranked = Window.partitionBy(*keys).orderBy(F.desc(score), "event_id")
-    rows = rows.withColumns({"_rank": F.row_number().over(ranked), "_hits": F.sum("label").over(ranked.rowsBetween(Window.unboundedPreceding, 0))})
-    value = F.sum(F.when(F.col("label") == 1, F.col("_hits") / F.col("_rank"))) / F.nullif(F.sum("label"), F.lit(0))
+    # both parts rise where the rank does: lower scores, later ids
+    edge = F.floor((1 - F.greatest(F.least(F.col(score).cast("double"), F.lit(1.0)), F.lit(0.0))) * 1024)
+    rows = rows.withColumns({"_edge": F.coalesce(edge, F.lit(1025)), "_head": F.coalesce(F.substring(F.col("event_id").cast("string"), 1, 2), F.lit(""))})
+    part = [*keys, "_edge", "_head"]
+    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("_h"))
+    ahead = Window.partitionBy(*keys).orderBy("_edge", "_head").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*part, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_h").over(ahead), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*part).orderBy(F.desc(score), "event_id")
+    rows = rows.withColumns({"_rank": F.row_number().over(inside), "_hits": F.sum("label").over(inside.rowsBetween(Window.unboundedPreceding, 0))})
+    rows = rows.join(before.select(*[F.col(c).alias(f"_b{c}") for c in part], "_rows", "_before"), _same(part), "inner")
+    value = F.sum(F.when(F.col("label") == 1, (F.col("_hits") + F.col("_before")) / (F.col("_rank") + F.col("_rows")))) / F.nullif(F.sum("label"), F.lit(0))
     return rows.groupBy(*keys).agg(value.alias("average_precision")) if keys else rows.agg(value.alias("average_precision"))
 
 
+def _same(part: list[str]) -> Column:
+    met = F.lit(True)
+    for c in part:
+        met = met & F.col(c).eqNullSafe(F.col(f"_b{c}"))
+    return met
+
+
 def holdout_metrics(rows: DataFrame, score: str = "score", at: float = 0.65, keys: list[str] | None = None) -> DataFrame:
     flagged, hit = F.col(score) >= at, F.col("label") == 1
     n = lambda c: F.count_if(c)
@@ -242,12 +258,14 @@ def shadow_alerts(rows: DataFrame, score: str, settings: Settings = LIVE) -> Dat
 def promotion_gate(candidate: DataFrame, incumbent: DataFrame, wrong_on: DataFrame, shadow: DataFrame) -> DataFrame:
     """One row (promote, reason) from one-row frames.
 
-    candidate, incumbent: average_precision, false_positives. wrong_on: candidate_wrong, incumbent_wrong.
+    candidate, incumbent: average_precision, false_positives; an empty incumbent is no active model. wrong_on: candidate_wrong, incumbent_wrong.
     shadow: rows, candidate_alerts, candidate_runners, incumbent_alerts, incumbent_runners.
     """
     c = candidate.select(F.col("average_precision").alias("c_ap"), F.col("false_positives").alias("c_fp"))
     i = incumbent.select(F.coalesce("average_precision", F.lit(0.0)).alias("i_ap"), F.col("false_positives").alias("i_fp"))
-    one = c.crossJoin(i).crossJoin(wrong_on).crossJoin(shadow)
+    # without an active model there is nothing to be worse than
+    one = c.join(i, F.lit(True), "left").crossJoin(wrong_on).crossJoin(shadow)
+    first = F.col("i_fp").isNull()
     allowed = lambda n: F.greatest(F.col(n) * GATE["growth"], false_alarm_bound(F.col(n)))
     checks = [
         ("ranks worse", F.col("c_ap") + GATE["tolerance"] >= F.col("i_ap")),
@@ -257,11 +275,25 @@ def promotion_gate(candidate: DataFrame, incumbent: DataFrame, wrong_on: DataFra
         ("more alerts than the active model", F.col("candidate_alerts") <= allowed("incumbent_alerts")),
         ("alerts on more runners", F.col("candidate_runners") <= allowed("incumbent_runners")),
     ]
-    found = F.concat_ws("; ", *[F.when(~ok, F.lit(text)) for text, ok in checks])
-    reason = F.when(F.col("c_ap").isNull(), "holdout has no incidents").when(found == "", "at least as good").otherwise(F.concat(F.lit("not better: "), found))
+    found = F.when(first, "").otherwise(F.concat_ws("; ", *[F.when(~ok, F.lit(text)) for text, ok in checks]))
+    reason = F.when(F.col("c_ap").isNull(), "holdout has no incidents").when(first, "the first model").when(found == "", "at least as good").otherwise(F.concat(F.lit("not better: "), found))
     return one.select((F.col("c_ap").isNotNull() & (found == "")).alias("promote"), reason.alias("reason"))
 
 
+def register(spark, path: str, version: str, model, trained_rows: int, metrics: dict, created_ms: int) -> None:
+    """Keep a trained model beside the table of models, and append its row."""
+    folder = path.rstrip("/")
+    model.write().overwrite().save(f"{folder}/files/{version}")
+    row = [(version, created_ms, trained_rows, json.dumps(metrics, sort_keys=True), f"{folder}/files/{version}")]
+    spark.createDataFrame(row, "version string, created_ms long, trained_rows long, metrics string, model string").write.mode("append").parquet(f"{folder}/models")
+
+
+def activate(spark, path: str, version: str, reason: str, activated_ms: int) -> None:
+    """Append an activation; the newest one names the active model, so going back is an activation too."""
+    row = spark.createDataFrame([(version, activated_ms, reason)], "version string, activated_ms long, reason string")
+    row.write.mode("append").parquet(f"{path.rstrip('/')}/activations")
+
+
 def active_model(activations: DataFrame, models: DataFrame) -> DataFrame:
     """The newest activation with its model."""
     newest = activations.orderBy(F.desc("activated_ms"), F.desc("version")).limit(1)

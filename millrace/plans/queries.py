@@ -436,18 +436,32 @@ def flow_rates(spark, d):
     return dq.flow_rates(V.snapshots(spark, d)).select("topic", F.round("rate", 9).alias("rate"), "lag")
 
 
-def _health(stage: str, oracle: str) -> None:
+def _health(stage: str, oracle: str, more=None) -> None:
     def run(spark, d):
-        rows = dq.health(dq.flow_rates(V.snapshots(spark, d)), min_rate=0.001)
-        return rows.filter(F.col("stage") == stage).select("check_name", "severity", "passed", F.round("value", 9).alias("value"))
+        rates = dq.flow_rates(V.snapshots(spark, d))
+        rows = dq.health(rates, min_rate=0.001).filter(F.col("stage") == stage)
+        if more is not None:
+            rows = rows.unionByName(more(spark, d, rates))
+        return rows.select("check_name", "severity", "passed", F.round("value", 9).alias("value"))
 
     run.__name__ = f"health_{stage}"
-    query(f"{_RATES} {oracle}")(run)
+    query(f"{oracle}")(run)
 
 
-_health("extract", "SELECT 'input_rate' AS check_name, 'fail' AS severity, a >= 0.001 AS passed, round(a, 9) AS value FROM flow UNION ALL SELECT 'rejected_share', 'warn', coalesce(r / nullif(a, 0) <= 0.01, true), round(r / nullif(a, 0), 9) FROM flow")
-_health("transform", "SELECT 'lag_seconds' AS check_name, 'fail' AS severity, al / greatest(a, 1) <= 120 AS passed, round(al / greatest(a, 1), 9) AS value FROM flow UNION ALL SELECT 'output_ratio', 'fail', coalesce((s + r) / nullif(a, 0) >= 0.5, true), round((s + r) / nullif(a, 0), 9) FROM flow")
-_health("load", "SELECT 'lag_seconds' AS check_name, 'fail' AS severity, sl / greatest(s, 1) <= 60 AS passed, round(sl / greatest(s, 1), 9) AS value FROM flow")
+def _intake(spark, d, rates):
+    """Days for minutes; a hundredth of the messages stands for errors of the intake."""
+    stored = V.stored(spark, d)
+    errors = V.raw_events(spark, d).filter("k = 13").select(F.col("ingested_ms").alias("failed_ms"))
+    now = stored.agg(F.max("ingested_ms").alias("now"))
+    return dq.health_intake(rates, stored.crossJoin(F.broadcast(now)), errors.crossJoin(F.broadcast(now)), F.col("now"), min_rate=0.001, last_ms=V.DAY, max_p95_ms=2000)
+
+
+_health("extract", _RATES + " SELECT 'input_rate' AS check_name, 'fail' AS severity, a >= 0.001 AS passed, round(a, 9) AS value FROM flow UNION ALL SELECT 'rejected_share', 'warn', coalesce(r / nullif(a, 0) <= 0.01, true), round(r / nullif(a, 0), 9) FROM flow")
+_health("transform", _RATES + _ISSUES.replace(", flags", ", flags", 1) + " SELECT 'lag_seconds' AS check_name, 'fail' AS severity, al / greatest(a, 1) <= 120 AS passed, round(al / greatest(a, 1), 9) AS value FROM flow UNION ALL SELECT 'output_ratio', 'fail', coalesce((s + r) / nullif(a, 0) >= 0.5, true), round((s + r) / nullif(a, 0), 9) FROM flow UNION ALL SELECT 'doubtful_share', 'warn', coalesce(v <= 0.01, true), round(v, 9) FROM (SELECT sum(severity_defaulted::INT + missing_project::INT + missing_hostname::INT + unknown_region::INT) / count(*)::DOUBLE AS v FROM flags) UNION ALL SELECT 'logic_inconsistent', 'fail', true, 0.0::DOUBLE FROM flow",
+    lambda spark, d, rates: dq.health_issues(dq.shares(_flagged(spark, d))))
+_health("load", _RATES + """, newest AS (SELECT max(ingested_ms) AS now FROM stored) SELECT 'lag_seconds' AS check_name, 'fail' AS severity, sl / greatest(s, 1) <= 60 AS passed, round(sl / greatest(s, 1), 9) AS value FROM flow UNION ALL SELECT 'rows_last_minute', 'fail', coalesce(n >= 1, true), n::DOUBLE FROM (SELECT CASE WHEN (SELECT a FROM flow) >= 0.001 THEN count(*) FILTER (ingested_ms > now - 86400000) END AS n FROM stored, newest)
+    UNION ALL SELECT 'latency_p95_ms', 'warn', coalesce(v <= 2000, true), round(v, 9) FROM (SELECT quantile_cont(ingested_ms - ts_ms, 0.95) AS v FROM stored, newest WHERE ingested_ms > now - 5 * 86400000)
+    UNION ALL SELECT 'intake_errors', 'warn', n = 0, n::DOUBLE FROM (SELECT count(*) AS n FROM raw, newest WHERE k = 13 AND ingested_ms > now - 10 * 86400000)""", _intake)
 
 
 @query("SELECT coalesce((SELECT count(*) FILTER (severity = 'fail' AND NOT passed) = 0 AND count(*) FILTER (stage = 'load') > 0 FROM results WHERE run_id = (SELECT arg_max(run_id, checked_ms) FROM results)), false) AS healthy")
@@ -1049,6 +1063,18 @@ def alert_rules(spark, d):
 # investigation
 
 
+@query(f"{_SUMMARY} SELECT (SELECT max(ts_ms) FROM scored) AS evaluated_ms, incidents_seen, incidents_caught, median_time_to_flag_s, normal_quarantined_uninvolved, len({_FAILURES}) = 0 AS passed, array_to_string({_FAILURES}, ',') AS failures FROM summary")
+def detection_history(spark, d):
+    now = V.scored(spark, d).agg(F.max("ts_ms").alias("evaluated_ms"))
+    out = investigate.detection_history(evaluate.report_row(_summary(spark, d), "run").crossJoin(now))
+    return out.withColumn("failures", F.array_join("failures", ","))
+
+
+@query("SELECT runner_ip, count(*) AS events FROM scored WHERE rule_score >= 0.9 GROUP BY 1")
+def parameterised_read(spark, d):
+    return investigate.ask(spark, "SELECT runner_ip, count(*) AS events FROM {decisions} WHERE rule_score >= :least GROUP BY 1", {"decisions": V.scored(spark, d)}, least=0.9)
+
+
 @query("SELECT event_id, runner_ip, ts_ms, rule_hits FROM scored WHERE event_id = (SELECT max(event_id) FROM scored)")
 def inv_event_by_id(spark, d):
     rows = V.scored(spark, d)
