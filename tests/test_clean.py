@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.plans import queries as Q
 from millrace.functions import clean as C
 from millrace.settings import LIVE
 from millrace.sources import raw
@@ -73,3 +74,9 @@ def test_frames_and_dead_letters(spark):
     letters = {r["kafka_offset"]: r for r in raw.dead_letters(C.validate(raw.decode(df), LIVE).filter("reject_reason is not null")).collect()}
     assert letters[0]["raw_value"] == "e30=" and letters[0]["schema_id"] is None and letters[3]["schema_id"] == 9 and letters[2]["raw_value"] == ""
     assert letters[5]["reject_reason"] == "invalid_event_id" and letters[3]["kafka_timestamp"] == "2026-09-20 14:00:00.000"
+
+
+def test_the_plan_of_dead_letters_stays_small(spark, sf_dir):
+    """Decoding is parsed once: no check or field repeats it."""
+    plan = Q.dead_letter_rows(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 2 and len(plan) < 60_000
