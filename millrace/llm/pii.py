@@ -4,7 +4,8 @@ Every match of a base pattern is a protected entity (its kind and value). All co
 text change none of them: a term t (a whole word of the text that touches no base span) and an entity e that share c of N
 texts, t in df(t) and e in df(e) of them, have pointwise mutual information log2(c N / (df(t) df(e))); over the information
 of e, log2(N / df(e)), that is how much of e the term gives away. The texts must hold e in at least `support` different
-contexts (the `window` words around it), so near-copies of one document prove nothing. A term over the threshold is
+contexts (the `window` words around it), so near-copies of one document prove nothing. A term over the threshold that leaves
+no more than half a bit, log2(df(t) / c), unknown (else it mostly stands in texts without the entity) is
 sanitised wherever it stands, in every text: generalised to its first letters where those surely give away less than the
 threshold by their least count, that in texts with entities, removed otherwise.
 
@@ -30,8 +31,9 @@ from millrace.llm.common import BROADCAST_ROWS, bound_batches, bounded_broadcast
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
-#: A threshold of 0.95 flags terms of which about half the texts or more hold the entity; at 0.75 a fifteenth was enough.
-WINDOW, SUPPORT, THRESHOLD, STEM, LEAST = 5, 3, 0.95, 4, 3
+WINDOW, SUPPORT, THRESHOLD, STEM, LEAST = 5, 3, 0.75, 4, 3
+#: Bits about the entity that a disclosing term leaves unknown at most: it comes with the entity in seven of ten texts or more.
+LEFT = 0.5
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -190,13 +192,14 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     seen_in = pairs.filter("entity = ''").select("term", F.col("c").alias("least_df"))
     pairs = pairs.filter("entity <> ''")
     information = F.greatest(F.log2(F.col("n") / F.col("e")), F.lit(1e-9))
+    tells = lambda c, d: (gives(c, d) >= threshold - 1e-9) & (F.log2(F.col(d) / F.col(c)) <= LEFT + 1e-9)
     gives = lambda c, d: F.log2(F.col(c) * F.col("n") / (F.col(d) * F.col("e"))) / information
     # what a term gives away falls with its df: one below the threshold at the least df cannot pass
     judged = pairs.join(known, "entity").join(seen_in, "term").crossJoin(F.broadcast(total))
     is_stem = F.col("term").endswith("*")
-    possible_stems, possible = judged.filter(is_stem), judged.filter(~is_stem & (gives("c", "least_df") >= threshold - 1e-9))
-    # the stem's disclosure is at most what its least df says; where that is under the threshold, the stem is safe to keep
-    safe = possible_stems.select("entity", F.col("term").alias("stem"), (gives("c", "least_df") < threshold).alias("safe"))
+    possible_stems, possible = judged.filter(is_stem), judged.filter(~is_stem & tells("c", "least_df"))
+    # a stem tells at most what its least df says; where that is not enough, the stem is safe to keep
+    safe = possible_stems.select("entity", F.col("term").alias("stem"), (~tells("c", "least_df")).alias("safe"))
     stems = F.concat(F.substring("term", 1, STEM), F.lit("*"))
     strong = possible.select("entity", "term", "c").withColumn("stem", stems).join(safe, ["entity", "stem"])
     strong = materialize(strong.select("entity", "term", "c", "safe"))
@@ -230,7 +233,7 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     df = counted.mapInPandas(count, "term string, texts double").groupBy("term").agg(F.round(F.sum("texts")).cast("long").alias("df"))
     df = materialize(df.join(wanted, "term", "left_semi"))
     got = strong.join(known, "entity").join(df, "term").crossJoin(F.broadcast(total))  # one row
-    got = got.withColumn("disclosed", gives("c", "df")).filter(F.col("disclosed") >= threshold)
+    got = got.withColumn("disclosed", gives("c", "df")).filter(tells("c", "df"))
     return got.select("entity", "term", F.when(F.col("safe"), "generalise").otherwise("remove").alias("action"), "disclosed")
 
 

@@ -79,7 +79,7 @@ def test_disclosed_terms_by_brute_force(spark):
                 continue
             df = sum(term in x for x in terms.values())
             told = log2(len(shared) * len(different) / (df * len(by))) / log2(len(different) / len(by))
-            if told >= pii.THRESHOLD:
+            if told >= pii.THRESHOLD and log2(df / len(shared)) <= pii.LEFT:
                 want[e, term] = round(told, 9)
     assert {(r["entity"], r["term"]): round(r["disclosed"], 9) for r in pii.disclosing(docs).collect()} == want and want
 
