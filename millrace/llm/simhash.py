@@ -114,6 +114,8 @@ def near_duplicates(
 WIDE, SIMILAR, RECALL = 1024, 0.8, 0.98
 #: Part of the bits that a pair of the least similarity differs in, and the bits of 64 that it hardly ever exceeds (0.03 %).
 MOVED, WORD_DISTANCE = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi, 20
+#: The same of the whole fingerprint (0.03 % lie 3.43 deviations above the mean), and the most fingerprints that are broadcast (50 MB).
+WIDE_DISTANCE, WIDE_ROWS = math.ceil(WIDE * MOVED + 3.43 * math.sqrt(WIDE * MOVED * (1 - MOVED))), 300_000
 
 
 def _normal(text: str) -> list[bytes]:
@@ -203,23 +205,41 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     """(a, b): verified links between nodes of prints (node, f); their components are those of all pairs that meet in a band.
 
     First every node meets the least node of each of its buckets. Members that these links already join need not meet again,
-    so of each bucket only those outside its largest component meet all members of other components, none left out. A group
-    of thousands of near-copies costs its size that way, and only buckets of many unlinked texts cost their square.
+    so of each bucket only those outside its largest component meet all members of other components, none left out but the
+    least node, which has met them all. A group of thousands of near-copies costs its size that way, and only buckets of many
+    unlinked texts cost their square. Pairs leave the join if their whole fingerprints are no further apart than
+    WIDE_DISTANCE, and only these have their shingle sets brought together.
     """
+
+    @F.pandas_udf("array<long>")
+    def longs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([np.frombuffer(f, "<i8") for f in batch], dtype=object)
+
     shared = meetings(prints, prints.count())
+    met_any = shared.select("node").distinct()
+    wide = materialize(prints.join(met_any, "node", "left_semi").select("node", longs("f").alias("w")))
+    known = wide.count()
+    whole = lambda node, w: bounded_broadcast(wide.select(F.col("node").alias(node), F.col("w").alias(w)), known, WIDE_ROWS)
     bits = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
+    apart = sum((F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(1, WIDE // 64)), F.bit_count(F.col("wa")[0].bitwiseXOR(F.col("wb")[0])))
     key = Window.partitionBy("key")
     star = shared.withColumn("least", F.min(F.struct("node", "f0")).over(key)).select(F.col("node").alias("a"), F.col("least.node").alias("b"), "f0", F.col("least.f0").alias("g0"))
-    links = verified(star.filter("a <> b").filter(bits("f0", "g0") <= WORD_DISTANCE), docs, width)
+    star = star.filter("a <> b").filter(bits("f0", "g0") <= WORD_DISTANCE).select("a", "b").distinct()
+    star = star.join(whole("a", "wa"), "a").join(whole("b", "wb"), "b").filter(apart <= WIDE_DISTANCE)
+    links = verified(star.select("a", "b"), docs, width)
     found = components(links)
-    rooted = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = shared.join(bounded_broadcast(found, found.count()), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rooted.repartition(F.col("key"))  # for both windows and the join
     rooted = rooted.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key", "root"))).withColumn("most", F.max(F.struct("m", "root")).over(key)["root"])
-    rooted = rooted.withColumns({"low": F.min("root").over(key), "high": F.max("root").over(key)}).filter("low <> high")
-    rooted = materialize(rooted.select("key", "node", "f0", "root", (F.col("root") != F.col("most")).alias("minor")))
-    x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra"))
-    met = x.join(rooted, "key").filter((F.col("ra") != F.col("root")) & (~F.col("minor") | (F.col("a") < F.col("node"))))
-    met = met.filter(bits("f0", "g0") <= WORD_DISTANCE).select("a", F.col("node").alias("b"))
-    return links.unionByName(verified(met, docs, width))
+    rooted = rooted.withColumns({"low": F.min("root").over(key), "high": F.max("root").over(key), "least": F.min("node").over(key)})
+    rooted = rooted.filter("low <> high and node <> least").select("key", "node", "f0", "root", (F.col("root") != F.col("most")).alias("minor"))
+    x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra")).join(whole("a", "wa"), "a")
+    met = x.join(
+        rooted.join(whole("node", "wb"), "node"),
+        (x["key"] == rooted["key"]) & (F.col("ra") != F.col("root")) & (~F.col("minor") | (F.col("a") < F.col("node"))) & (bits("f0", "g0") <= WORD_DISTANCE) & (apart <= WIDE_DISTANCE),
+    )
+    return links.unionByName(verified(met.select("a", F.col("node").alias("b")), docs, width))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
