@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.functions.clean import enrich, normalize, validate
-from millrace.operators.dq import with_issues
+from millrace.operators.dq import issue_counts, with_issues
 from millrace.operators.rules import apply_model, apply_rules
 from millrace.settings import LIVE, Settings
 from millrace.sources.raw import dead_letters, decode
@@ -52,11 +52,35 @@ def split(raw: DataFrame, settings: Settings = LIVE) -> tuple[DataFrame, DataFra
     return good, dead_letters(checked.filter("reject_reason is not null"))
 
 
+def counters(scored: DataFrame, settings: Settings = LIVE) -> DataFrame:
+    """(counter, label, events) of scored events: scored, each action, raised by the model, each declared issue; zeros too."""
+    action = F.col("recommended_action")
+    raised = (action != "ok") & (F.col("rule_score") < settings.suspicious)
+    told = [("scored", "", F.lit(True)), *[("action", a, action == a) for a in ("ok", "alert", "quarantine")], ("ml_raised", "", raised)]
+    one = scored.agg(*[F.count_if(c).alias(f"n{i}") for i, (_, _, c) in enumerate(told)])
+    rows = [F.struct(F.lit(k).alias("counter"), F.lit(v).alias("label"), F.col(f"n{i}").alias("events")) for i, (k, v, _) in enumerate(told)]
+    return one.select(F.inline(F.array(*rows))).unionByName(issue_counts(scored).select(F.lit("issue").alias("counter"), F.col("issue").alias("label"), "events"))
+
+
+def topic_rows(scored: DataFrame) -> DataFrame:
+    """Scored events as the messages of a topic: keyed by runner, so that a runner's rows keep their order; one JSON line each."""
+    return scored.select(F.col("runner_ip").alias("key"), F.to_json(F.struct(*scored.columns)).alias("value"))
+
+
+def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame], None]:
+    """A publisher for start(): appends messages to a topic; needs the Kafka connector on the class path."""
+    return lambda rows: rows.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def start(
     raw: DataFrame, events_path: str, rejects_path: str, suspicious_path: str, checkpoint: str, settings: Settings = LIVE,
-    model: HotModel | None = None, idle: bool = False, **trigger,
+    model: HotModel | None = None, idle: bool = False, counters_path: str | None = None, publish: Callable[[DataFrame], None] | None = None, **trigger,
 ) -> list[StreamingQuery]:
-    """Start the two queries of the job over one topic: decisions (with the suspicious ones beside) and dead letters."""
+    """Start the two queries of the job over one topic: decisions (with the suspicious ones beside) and dead letters.
+
+    counters_path: where the counters of each batch go, refused messages by reason among them. publish: called with
+    topic_rows() of each batch before the batch counts as done, so at least once.
+    """
     good, refused = split(raw, settings)
     featured = stream_features(good, settings, idle)
 
@@ -66,10 +90,19 @@ def start(
         scored = scored.persist()
         scored.write.mode("overwrite").parquet(f"{events_path}/batch={batch_id}")
         scored.filter("is_suspicious = 1").write.mode("overwrite").parquet(f"{suspicious_path}/batch={batch_id}")
+        if counters_path:
+            counters(scored, settings).write.mode("overwrite").parquet(f"{counters_path}/query=events/batch={batch_id}")
+        if publish:
+            publish(topic_rows(scored))
         scored.unpersist()
 
     def write_refused(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("rejected_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        batch = batch.withColumn("rejected_at", F.current_timestamp()).persist()
+        batch.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        if counters_path:
+            by = batch.groupBy(F.col("reject_reason").alias("label")).agg(F.count(F.lit(1)).alias("events"))
+            by.select(F.lit("rejected").alias("counter"), "label", "events").write.mode("overwrite").parquet(f"{counters_path}/query=rejects/batch={batch_id}")
+        batch.unpersist()
 
     trigger = trigger or {"availableNow": True}
     one = featured.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/events").trigger(**trigger).start()
