@@ -100,7 +100,7 @@ class RunnerProcessor(StatefulProcessor):
         self.ring = handle.getValueState("ring", "ids array<string>, at int")
         self.seen = handle.getValueState("seen", "processed_ms long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values(["partition", "offset"], kind="stable")  # a micro-batch has no order within a key
         window = RunnerWindow(self.settings, list(self.log.get()) if self.log.exists() else [])
@@ -124,7 +124,7 @@ class RunnerProcessor(StatefulProcessor):
         self.log.put(list(window.records))
         self.ring.update((ids, at))
         if self.idle:
-            now = timer_values.getCurrentProcessingTimeInMs()
+            now = timerValues.getCurrentProcessingTimeInMs()
             self.seen.update((now,))
             for t in self.handle.listTimers():
                 self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
@@ -132,7 +132,7 @@ class RunnerProcessor(StatefulProcessor):
         if out:
             yield pd.DataFrame(out, columns=[*self.columns, "eff", *FEATURES])
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """A runner silent for the idle time is forgotten at once."""
         self.log.clear()
         self.ring.clear()
