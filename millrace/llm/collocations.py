@@ -3,8 +3,9 @@
 Level m counts what follows the prefixes of m words, level 0 what follows nothing. A task counts a bounded portion of text
 at a time: words become numbers of a local vocabulary, n-grams become pairs of numbers that are sorted and counted, and a
 prefix leaves the task as one stripe (its next words and their counts). Stripes of a prefix are merged element by element
-behind one exchange, and what is kept of a merged stripe gives everything at once: the extensions of at least the least
-count, the prefix's total, and its largest extension, the subsumption maximum on its right.
+behind one exchange, on which they travel packed and compressed by buckets of prefixes, and what is kept of a merged stripe
+gives everything at once: the extensions of at least the least count, the prefix's total, and its largest extension, the
+subsumption maximum on its right.
 
 A phrase is only counted where both phrases of one word less in it reach the least count, which loses nothing, for a phrase
 is never more frequent than its parts. Words that end a piece or lead to rare phrases are counted together as "other", so
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +35,10 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bound_batches, materialize
 
 SHORTEST, LONGEST, LEAST, SUBSUMED, TOP = 2, 3, 10, 50, 2_000
-#: Bytes of text that a task counts at once, the longest part of a text, and the shards of the empty prefix.
-PORTION, PART, SHARDS = 8 << 20, 1 << 20, 256
+#: Words that a task counts at once, the bytes of a part of a text, and the shards of the empty prefix.
+PORTION, PART, SHARDS = 4_000_000, 1 << 20, 256
+#: Words for each bucket of prefixes, the least and most buckets, and the entries of a bucket that a task merges.
+BUCKET_WORDS, LEAST_BUCKETS, MOST_BUCKETS, MERGED = 1_000_000, 512, 8_192, 4_000_000
 #: A prefix is hot over this many occurrences or this part of all; bits of the filter for each phrase, and at most.
 HOT, HOT_PART, BITS, MOST_BITS = 100_000, 100_000, 16, 1 << 27
 #: Parts in which the best phrases of a language are ranked first.
@@ -122,124 +126,190 @@ class PhraseFilter:
         return cls(words)
 
 
-class Counter:
-    """Counts the stripes of one level over portions of text of one language."""
+#: Stripes as they leave a task: a batch of these for each bucket, compressed.
+_STRIPES = pa.schema([("prefix", pa.binary()), ("next", pa.list_(pa.binary())), ("n", pa.list_(pa.int64()))])
 
-    def __init__(self, lang: bytes, filters: list[PhraseFilter], hot: dict[bytes, int]):
-        self.lang, self.filters, self.hot, self.level = lang, filters, hot, len(filters)
 
-    def stripes(self, tokens: list[bytes]) -> Iterator[tuple]:
-        """(prefixes, shards, offsets, next words or null, counts) of the phrases that begin in tokens and end there too."""
-        number: dict[bytes, int] = {_END: 0}
-        ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64, len(tokens))
-        words = list(number)
-        hashes, m, size = _word_hashes(words), self.level, len(ids)
+class _Numbers(dict):
+    """Word -> its number, in the order in which words are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = len(self)
+        return found
+
+
+class Portion:
+    """Text of one language as numbers of a local vocabulary, and the stripes of one level in it."""
+
+    def __init__(self, lang: bytes, filters: list[PhraseFilter], words: list[bytes] = ()):
+        self.lang, self.filters, self.level = lang, filters, len(filters)
+        self.number = _Numbers({_END: 0})  # number 0, the end of a piece, stands for "other" too
+        self.ids, self.size = [], 0
+        self.add(words)
+
+    def add(self, words: list[bytes]) -> None:
+        self.ids.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
+        self.size += len(words)
+
+    def last_words(self) -> list[bytes]:
+        """The words in which phrases begin that may go on in the next portion: none, if this one ends a piece."""
+        if not self.level or not self.ids or not len(self.ids[-1]) or self.ids[-1][-1] == 0:
+            return []
+        words = list(self.number)
+        return [words[i] for i in np.concatenate(self.ids)[-self.level :]]
+
+    def stripes(self, hot: dict[tuple[str, str], int], buckets: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+        """(bucket, stripes): a stripe holds a prefix, its next words or null for "other", and their counts."""
+        ids, words, m = np.concatenate(self.ids), list(self.number), self.level
+        hashes, bits = _word_hashes(words), max(1, (len(words) - 1).bit_length())
+        mask = (1 << bits) - 1
         if m == 0:
             n = np.bincount(ids, minlength=len(words))
-            at = np.arange(1, len(words))
-            return self._cut([b""], words, np.zeros(len(at), np.int64), at, n[1:], hashes)
-        # the phrases of one to m words that begin at each position, as numbers; -1 where one is not frequent
-        h, texts = _longer(np.repeat(_of_lang(self.lang), len(words)), hashes), words
-        good = self.filters[0].has(h)
-        code = np.where((ids != 0) & good[ids], ids, -1)
-        for length in range(2, m + 1):
-            begins = np.flatnonzero((code[:-1] >= 0) & (code[1:] >= 0)) if size > 1 else np.empty(0, int)
-            begins = begins[begins + length <= size]
-            pair, back = np.unique(code[begins] << 32 | ids[begins + length - 1], return_inverse=True)
-            prefix, last = pair >> 32, pair & 0xFFFFFFFF
-            new_h = _longer(h[prefix], hashes[last])
-            good = self.filters[length - 1].has(new_h)
-            code = np.full(size, -1)
-            code[begins] = np.where(good[back], back, -1)
-            used = np.flatnonzero(good)
-            made = {int(i): texts[prefix[i]] + b" " + words[last[i]] for i in used}
-            h, texts = new_h, made
-        # a prefix goes on to a word if the phrase of its last m - 1 words and that word is frequent too, else to "other"
-        begins = np.flatnonzero(code >= 0)
-        begins = begins[begins + m < size]
-        ends = begins + m
-        goes_on = (code[begins + 1] >= 0) & (ids[ends] != 0)
-        nexts = np.where(goes_on, ids[ends], 0)
-        pair, n = np.unique(code[begins] << 32 | nexts, return_counts=True)
-        return self._cut(texts, words, pair >> 32, pair & 0xFFFFFFFF, n, hashes)
-
-    def _cut(self, texts, words: list[bytes], prefix: np.ndarray, nexts: np.ndarray, n: np.ndarray, hashes: np.ndarray) -> Iterator[tuple]:
-        """Stripes of sorted (prefix, next) with their counts, those of hot prefixes cut into shards."""
-        if not len(n):
-            return None
-        shard = np.zeros(len(n), np.int64)
-        if self.hot or not self.level:
-            which, back = np.unique(prefix, return_inverse=True)
-            cuts = np.array([self.hot.get(texts[int(i)], 1) if self.level else SHARDS for i in which], np.uint64)[back]
-            shard = (hashes[nexts] % cuts).astype(np.int64)
-            order = np.lexsort((nexts, shard, prefix))
-            prefix, nexts, n, shard = prefix[order], nexts[order], n[order], shard[order]
-        first = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1]))))
-        names = [texts[int(i)] for i in prefix[first]]
-        vocabulary = pa.array([None, *words[1:]], pa.binary())  # number 0, the end of a piece, stands for "other"
-        return names, shard[first], np.append(first, len(n)), vocabulary.take(pa.array(nexts)), n
-
-
-def count_stripes(docs: DataFrame, filters: list[PhraseFilter], hot: dict[tuple[str, str], int], portion: int = PORTION) -> DataFrame:
-    """(lang, prefix, shard, next array, n array) of documents (lang, text): what each task counted, a stripe a row."""
-    spark, level = docs.sparkSession, len(filters)
-    shared = spark.sparkContext.broadcast((filters, hot))
+            key, n = np.arange(1, len(words)), n[1:]
+        else:
+            # where the phrases of one to m words that begin at a position are all frequent
+            h = _longer(np.repeat(_of_lang(self.lang), len(words)), hashes)
+            good = (self.filters[0].has(h) & (np.arange(len(words)) != 0))[ids]
+            h = h[ids]
+            for length in range(2, m + 1):
+                begins = np.flatnonzero(good[:-1] & good[1:])
+                longer = _longer(h[begins], hashes[ids[begins + length - 1]])
+                good = np.zeros(len(ids), bool)
+                good[begins] = self.filters[length - 1].has(longer)
+                h = h.copy()
+                h[begins] = longer
+            begins = np.flatnonzero(good)
+            begins = begins[begins + m < len(ids)]
+            # a prefix goes on to a word if the phrase of its last m - 1 words and that word is frequent too, else to "other"
+            key = ids[begins]
+            for j in range(1, m):
+                key = key << bits | ids[begins + j]
+            key, n = np.unique(key << bits | np.where(good[begins + 1], ids[begins + m], 0), return_counts=True)
+        if not len(key):
+            return
+        prefix, nexts = key >> bits, key & mask
+        first = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1])))
+        size = np.diff(np.append(first, len(key)))
+        own = [prefix[first] >> bits * (m - 1 - j) & mask for j in range(m)]
+        h = np.repeat(_of_lang(self.lang), len(first))
+        for w in own:
+            h = _longer(h, hashes[w])
+        # a hot prefix has a stripe for each shard of the hash of the next word
+        shard = np.zeros(len(key), np.uint64)
+        if m == 0:
+            shard = hashes[nexts] % np.uint64(SHARDS)
+        for (lang, text), cuts in hot.items():
+            split = [self.number.get(w) for w in text.encode().split(b" ")] if lang.encode() == self.lang else [None]
+            if None not in split:
+                code = 0
+                for w in split:
+                    code = code << bits | w
+                a, b = np.searchsorted(prefix, [code, code + 1])
+                shard[a:b] = hashes[nexts[a:b]] % np.uint64(cuts)
+        bucket = (_longer(np.repeat(h, size), shard) % np.uint64(buckets)).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        bucket, prefix, nexts, n = bucket[order], prefix[order], nexts[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (bucket[1:] != bucket[:-1]))))
+        vocabulary = pa.array([None, *words[1:]], pa.binary())
+        at = pa.array(np.append(first, len(n)), pa.int32())
+        named = [vocabulary.take(pa.array(prefix[first] >> bits * (m - 1 - j) & mask)) for j in range(m)]
+        names = pc.binary_join_element_wise(*named, b" ") if m else pa.array([b""] * len(first), pa.binary())
+        table = pa.RecordBatch.from_arrays([names, pa.ListArray.from_arrays(at, vocabulary.take(pa.array(nexts))), pa.ListArray.from_arrays(at, pa.array(n, pa.int64()))], schema=_STRIPES)
+        edges = np.append(np.flatnonzero(np.concatenate(([True], bucket[first][1:] != bucket[first][:-1]))), len(first))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield int(bucket[first[a]]), table.slice(a, b - a)
+
+
+def count_stripes(docs: DataFrame, filters: list[PhraseFilter], hot: dict[tuple[str, str], int], buckets: int, portion: int = PORTION) -> DataFrame:
+    """(lang, bucket, size, stripes) of documents (lang, text): what each task counted, packed for each bucket of prefixes."""
+    shared, level = docs.sparkSession.sparkContext.broadcast((filters, hot)), len(filters)
+    most_words = 1 << 63 // (level + 1)  # so that a prefix and its next word fit one number
+    step = min(20_000, most_words // 2)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, hot = shared.value
-        held: dict[bytes, list[bytes]] = {}
-        rest: dict[bytes, list[bytes]] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, texts in held.items():
-                tokens = rest.pop(lang, []) + b"".join(texts).split()
-                cuts = {p.encode(): k for (of, p), k in hot.items() if of.encode() == lang}
-                made = Counter(lang, filters, cuts).stripes(tokens)
-                # what begins in the last words may go on in the next portion; a portion ends a piece unless a text was cut
-                if level and tokens and tokens[-1] != _END:
-                    rest[lang] = tokens[-level:]
-                if made:
-                    names, shards, offsets, nexts, n = made
-                    # lists of bounded size leave the task
-                    for a in range(0, len(names), 20_000):
-                        b = min(a + 20_000, len(names))
-                        at = pa.array(offsets[a : b + 1] - offsets[a], pa.int32())
-                        inside = slice(int(offsets[a]), int(offsets[b]))
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang] * (b - a), pa.binary()).cast(pa.string()), pa.array(names[a:b], pa.binary()).cast(pa.string()), pa.array(shards[a:b], pa.int64()),
-                                pa.ListArray.from_arrays(at, nexts[inside].cast(pa.string())), pa.ListArray.from_arrays(at, pa.array(n[inside], pa.int64())),
-                            ],
-                            ["lang", "prefix", "shard", "next", "n"],
-                        )
-            held.clear()
-
-        size = 0
+        held: dict[bytes, Portion] = {}
+
+        def flush(done: Portion) -> Iterator[pa.RecordBatch]:
+            found = [(bucket, table.serialize()) for bucket, table in done.stripes(hot, buckets)] if done.size else []
+            rows = [pa.array([done.lang] * len(found), pa.binary()).cast(pa.string()), pa.array([b for b, _ in found], pa.int32()), pa.array([t.size for _, t in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*rows, pa.array([pa.compress(t, "zstd", asbytes=True) for _, t in found], pa.binary())], ["lang", "bucket", "size", "stripes"])
+
         for batch in batches:
-            for lang, text in zip(batch.column(0).cast(pa.binary()), batch.column(1).cast(pa.binary()), strict=True):
+            for lang, text in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                own = held.setdefault(lang, Portion(lang, filters))
                 for part in parts(text.as_py()):
-                    held.setdefault(lang.as_py(), []).append(part)
-                    size += len(part)
-                    if size >= portion:
-                        yield from flush()
-                        size = 0
-        yield from flush()
+                    words = part.split()
+                    for a in range(0, len(words), step):
+                        if own.size >= portion or len(own.number) + step >= most_words:
+                            yield from flush(own)
+                            own = held[lang] = Portion(lang, filters, own.last_words())
+                        own.add(words[a : a + step])
+            if sum(p.size for p in held.values()) >= 2 * portion:  # many languages
+                for own in held.values():
+                    yield from flush(own)
+                held.clear()
+        for own in held.values():
+            yield from flush(own)
+
+    return docs.mapInArrow(count, "lang string, bucket int, size long, stripes binary")
+
+
+def merge_stripes(packed: DataFrame, least: int = LEAST, most: int = MERGED) -> DataFrame:
+    """(lang, prefix, next, n): stripes merged element by element. A prefix's total is in its rows without a next word.
+
+    Extensions of less than the least count go, but for the totals. A task merges a few buckets at a time; what has more than
+    `most` entries even so is merged by Spark's own aggregation instead.
+    """
 
-    return docs.mapInArrow(count, "lang string, prefix string, shard long, next array<string>, n array<long>")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, tables, rows, whole = None, [], 0, True
+        names = ["lang", "prefix", "next", "n"]
 
+        def summed(keys: list[str], table: pa.Table) -> pa.Table:
+            return table.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
 
-def merge_stripes(stripes: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, prefix, total, best, kept): stripes merged element by element; a row for each shard of a prefix.
+        def out(table: pa.Table, partial: bool) -> Iterator[pa.RecordBatch]:
+            for batch in table.select(names).to_batches(100_000):
+                columns = [*(batch[c].cast(pa.string()) for c in names[:3]), batch["n"].cast(pa.int64()), pa.array([partial] * len(batch))]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "partial"])
 
-    total: all that follows, ends and rare words too. best: the largest count. kept: (next, n) of at least the least count.
-    """
-    spread = stripes.repartition("lang", "prefix", "shard")
-    each = spread.select("lang", "prefix", "shard", F.inline(F.arrays_zip("next", "n")))
-    merged = each.groupBy("lang", "prefix", "shard", "next").agg(F.sum("n").alias("n"))
-    word = F.col("next").isNotNull()
-    return merged.groupBy("lang", "prefix", "shard").agg(
-        F.sum("n").alias("total"), F.max(F.when(word, F.col("n"))).alias("best"), F.collect_list(F.when(word & (F.col("n") >= least), F.struct("next", "n"))).alias("kept")
-    )
+        def done() -> Iterator[pa.RecordBatch]:
+            if tables:
+                table = summed(names[:3], pa.concat_tables(tables))
+                if whole:
+                    totals = summed(names[:2], table)
+                    yield from out(totals.append_column("next", pa.nulls(len(totals), pa.binary())), False)
+                    table = table.filter(pc.and_(pc.is_valid(table["next"]), pc.greater_equal(table["n"], least)))
+                yield from out(table, not whole)
+
+        for batch in batches:
+            for lang, bucket, size, blob in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if bucket != of and (rows > most // 8 or not whole):
+                    yield from done()
+                    tables, rows, whole = [], 0, True
+                of = bucket
+                stripes = pa.ipc.read_record_batch(pa.decompress(blob, size, "zstd"), _STRIPES)
+                entries = [stripes["prefix"].take(pc.list_parent_indices(stripes["next"])), stripes["next"].flatten(), stripes["n"].flatten()]
+                tables.append(pa.table([pa.repeat(pa.scalar(lang.encode(), pa.binary()), len(entries[0])), *entries], names))
+                rows += len(entries[0])
+                if rows > most:
+                    table = summed(names[:3], pa.concat_tables(tables))
+                    if len(table) > most // 2:
+                        yield from out(table, True)
+                        tables, rows, whole = [], 0, False
+                    else:
+                        tables, rows = [table.select(names).cast(tables[0].schema)], len(table)
+        yield from done()
+
+    spread = packed.repartition("bucket").sortWithinPartitions("bucket")
+    merged = materialize(spread.select("lang", "bucket", "size", "stripes").mapInArrow(merge, "lang string, prefix string, next string, n long, partial boolean"))
+    whole, left = merged.filter("not partial").drop("partial"), merged.filter("partial")
+    if left.isEmpty():
+        return whole
+    again = left.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
+    totals = left.groupBy("lang", "prefix").agg(F.sum("n").alias("n")).select("lang", "prefix", F.lit(None).cast("string").alias("next"), "n")
+    return materialize(whole.unionByName(totals).unionByName(again.filter((F.col("next").isNotNull()) & (F.col("n") >= least))))
 
 
 def phrase(prefix: str = "prefix", next_: str = "next") -> Column:
@@ -257,27 +327,25 @@ def mine(
     """
     bound_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    levels, filters = [], []
+    levels, filters, buckets = [], [], LEAST_BUCKETS
     hot: dict[tuple[str, str], int] = {}
     for m in range(longest):
-        levels.append(materialize(merge_stripes(count_stripes(texts, filters, hot, portion), least)))
+        levels.append(merge_stripes(count_stripes(texts, filters, hot, buckets, portion), least))
         if m + 1 < longest:
-            found = materialize(levels[m].select("lang", "prefix", F.inline("kept")).select("lang", phrase().alias("phrase"), "n"))
+            found = levels[m].filter("next is not null").select("lang", phrase().alias("phrase"), "n")
             if m == 0:
-                words = levels[0].agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n")).first()["n"]
-                limit = max(HOT, words // HOT_PART)
+                words = levels[0].filter("next is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+                limit, buckets = max(HOT, words // HOT_PART), min(MOST_BUCKETS, max(LEAST_BUCKETS, words // BUCKET_WORDS))
             hot = {(r["lang"], r["phrase"]): -(-r["n"] // limit) for r in found.filter(F.col("n") > limit).toLocalIterator()}
             filters.append(PhraseFilter.of(found.select("lang", "phrase"), found.count()))
 
-    extensions = [level.select("lang", "prefix", F.inline("kept")).select("lang", phrase().alias("phrase"), F.lit(m + 1).alias("words"), "n") for m, level in enumerate(levels)]
-    everything = extensions[0]
-    for e in extensions[1:]:
-        everything = everything.unionByName(e)
-    everything = materialize(everything)
-    prefixes = levels[1].select("lang", "prefix", "total", "best") if longest > 1 else None
-    for level in levels[2:]:
-        prefixes = prefixes.unionByName(level.select("lang", "prefix", "total", "best"))
-    totals = prefixes.groupBy("lang", F.col("prefix").alias("first")).agg(F.sum("total").alias("l"), F.max("best").alias("right"))
+    everything = levels[0].withColumn("words", F.lit(1))
+    for m, level in enumerate(levels[1:], 2):
+        everything = everything.unionByName(level.withColumn("words", F.lit(m)))
+    prefixes = everything.filter("words > 1").groupBy("lang", F.col("prefix").alias("first"))
+    totals = prefixes.agg(F.sum(F.when(F.col("next").isNull(), F.col("n"))).alias("l"), F.max(F.when(F.col("next").isNotNull(), F.col("n"))).alias("right"))
+    all_words = everything.filter("words = 1 and next is null").groupBy("lang").agg(F.sum("n").alias("n"))  # a row for each language
+    everything = everything.filter("next is not null").select("lang", phrase().alias("phrase"), "words", "n")
 
     # longer phrases: the right maximum is the stripe's, the left one that of the phrases that end so
     found = everything.filter(F.col("words") >= shortest)
@@ -296,7 +364,6 @@ def mine(
     cut = cut.withColumns({"aa": (wide("a") * wide("a") * F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(38,0)"), "lr": (wide("l") * wide("r")).cast("decimal(38,0)")})
     cut = cut.withColumn("score", F.expr("aa div lr"))
     scored = cut.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("best"))
-    all_words = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))  # a row for each language
     scored = scored.select("lang", "phrase", "a", "best.l", "best.r", "best.score").join(all_words, "lang")
     best_first = [F.desc("score"), F.desc("a"), F.col("phrase")]
     if top is not None:  # what leads its language leads its part of it
