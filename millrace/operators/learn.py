@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators.review import id_hash
 from millrace.operators.rules import action_for
 from millrace.settings import LIVE, MODEL_FEATURES, MODEL_FLAGS, Settings
+from millrace.workspace import materialize
 
 PER_SOURCE, HOLDOUT, SPLIT_SEED = 5, 0.2, 13
 MIN_ROWS, MIN_INCIDENTS = 2_000, 200
@@ -191,22 +192,22 @@ def explain(trees: list[dict], x: Column, top: int = 3) -> Column:
 
 
 def average_precision(rows: DataFrame, score: str = "score", keys: list[str] | None = None) -> DataFrame:
-    """Area under precision and recall over the ranked scores; ties by event_id. null without positives.
+    """Area under precision and recall over the ranked scores; ties by event_id, null scores last. null without positives.
 
-    No ranking in one task: rows fall into ranges of the order (a 1,024th of the score, then the id's first two characters);
-    the counts of the ranges, a small table, say how many rows and hits come before each, and ranks run within the ranges.
+    No ranking in one task: rows are dealt to ranges of (keys, score, event_id) itself, as many as shuffle partitions, so
+    equal scores spread over ranges too. The counts of the ranges, a small table, say how many rows and hits come before
+    each, and ranks run within the ranges.
     """
     keys = keys or []
-    # both parts rise where the rank does: lower scores, later ids
-    edge = F.floor((1 - F.greatest(F.least(F.col(score).cast("double"), F.lit(1.0)), F.lit(0.0))) * 1024)
-    rows = rows.withColumns({"_edge": F.coalesce(edge, F.lit(1025)), "_head": F.coalesce(F.substring(F.col("event_id").cast("string"), 1, 2), F.lit(""))})
-    part = [*keys, "_edge", "_head"]
-    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("_h"))
-    ahead = Window.partitionBy(*keys).orderBy("_edge", "_head").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*part, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_h").over(ahead), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*part).orderBy(F.desc(score), "event_id")
+    order = [F.desc(score), F.col("event_id")]
+    ranges = rows.select(*keys, score, "event_id", "label").repartitionByRange(*keys, *order)
+    rows = materialize(ranges.withColumn("_range", F.spark_partition_id()))
+    counts = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum("label"), F.lit(0)).alias("_h"))
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(c).alias(f"_b{c}") for c in [*keys, "_range"]], F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_h").over(ahead), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
     rows = rows.withColumns({"_rank": F.row_number().over(inside), "_hits": F.sum("label").over(inside.rowsBetween(Window.unboundedPreceding, 0))})
-    rows = rows.join(before.select(*[F.col(c).alias(f"_b{c}") for c in part], "_rows", "_before"), _same(part), "inner")
+    rows = rows.join(before, _same([*keys, "_range"]), "inner")
     value = F.sum(F.when(F.col("label") == 1, (F.col("_hits") + F.col("_before")) / (F.col("_rank") + F.col("_rows")))) / F.nullif(F.sum("label"), F.lit(0))
     return rows.groupBy(*keys).agg(value.alias("average_precision")) if keys else rows.agg(value.alias("average_precision"))
 
@@ -256,7 +257,7 @@ def shadow_alerts(rows: DataFrame, score: str, settings: Settings = LIVE) -> Dat
 
 
 def promotion_gate(candidate: DataFrame, incumbent: DataFrame, wrong_on: DataFrame, shadow: DataFrame) -> DataFrame:
-    """One row (promote, reason) from one-row frames.
+    """One row (promote, reason, candidate_ap, incumbent_ap) from one-row frames.
 
     candidate, incumbent: average_precision, false_positives; an empty incumbent is no active model. wrong_on: candidate_wrong, incumbent_wrong.
     shadow: rows, candidate_alerts, candidate_runners, incumbent_alerts, incumbent_runners.
@@ -277,7 +278,7 @@ def promotion_gate(candidate: DataFrame, incumbent: DataFrame, wrong_on: DataFra
     ]
     found = F.when(first, "").otherwise(F.concat_ws("; ", *[F.when(~ok, F.lit(text)) for text, ok in checks]))
     reason = F.when(F.col("c_ap").isNull(), "holdout has no incidents").when(first, "the first model").when(found == "", "at least as good").otherwise(F.concat(F.lit("not better: "), found))
-    return one.select((F.col("c_ap").isNotNull() & (found == "")).alias("promote"), reason.alias("reason"))
+    return one.select((F.col("c_ap").isNotNull() & (found == "")).alias("promote"), reason.alias("reason"), F.col("c_ap").alias("candidate_ap"), F.col("i_ap").alias("incumbent_ap"))
 
 
 def register(spark, path: str, version: str, model, trained_rows: int, metrics: dict, created_ms: int) -> None:

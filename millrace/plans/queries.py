@@ -796,6 +796,14 @@ def average_precision(spark, d):
     return learn.average_precision(_holdout(spark, d), keys=["lang"]).select("lang", F.round("average_precision", 9).alias("average_precision"))
 
 
+@query("""SELECT event_type, round(sum(CASE WHEN label = 1 THEN h / r::DOUBLE END) / nullif(sum(label), 0), 12) AS average_precision FROM (SELECT event_type, label, row_number() OVER w AS r, sum(label) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS h
+    FROM scored JOIN best_labels USING (event_id) WINDOW w AS (PARTITION BY event_type ORDER BY ml_score DESC, event_id)) GROUP BY 1""")
+def average_precision_ml(spark, d):
+    """The model's own scores, which are continuous."""
+    rows = V.scored(spark, d).join(learn.latest_labels(V.labels(spark, d)), "event_id")
+    return learn.average_precision(rows, "ml_score", ["event_type"]).select("event_type", F.round("average_precision", 12).alias("average_precision"))
+
+
 @query(full=f"""{_HOLDOUT} SELECT lang, count(*) AS rows, count(*) FILTER (label = 1) AS incidents, count(*) FILTER (label <> 1) AS normal, count(*) FILTER (score >= 0.65 AND label <> 1) AS false_positives,
     count(*) FILTER (score >= 0.65 AND label = 1) / nullif(count(*) FILTER (label = 1), 0)::DOUBLE AS recall_at_alert, count(*) FILTER (score >= 0.65 AND label <> 1) / nullif(count(*) FILTER (label <> 1), 0)::DOUBLE AS false_positive_rate_at_alert,
     count(*) FILTER (score >= 0.65 AND label = 1) / nullif(count(*) FILTER (score >= 0.65), 0)::DOUBLE AS precision_at_alert FROM held GROUP BY 1""")
@@ -848,20 +856,22 @@ def shadow_alerts(spark, d):
     w AS (SELECT count(*) FILTER (({_PROBABILITY} >= 0.65) <> (label = 1)) AS cw, count(*) FILTER ((ml_score >= 0.65) <> (label = 1)) AS iw FROM scored JOIN best_labels USING (event_id) WHERE reviewed),
     s AS (SELECT count(*) AS n, {_ALONE.format(s=_PROBABILITY, p='c')}, {_ALONE.format(s='ml_score', p='i')} FROM shadow),
     b AS (SELECT ca + 0.005 >= coalesce(ia, 0) AS b1, cf <= greatest("if", 1) + 1.96 * sqrt(greatest("if", 1)) + 1.92 AS b2, cw <= iw AS b3, calerts <= 0.005 * n AS b4,
-        calerts <= greatest(1.5 * ialerts, greatest(ialerts, 1) + 1.96 * sqrt(greatest(ialerts, 1)) + 1.92) AS b5, crunners <= greatest(1.5 * irunners, greatest(irunners, 1) + 1.96 * sqrt(greatest(irunners, 1)) + 1.92) AS b6 FROM m, w, s)
+        calerts <= greatest(1.5 * ialerts, greatest(ialerts, 1) + 1.96 * sqrt(greatest(ialerts, 1)) + 1.92) AS b5, crunners <= greatest(1.5 * irunners, greatest(irunners, 1) + 1.96 * sqrt(greatest(irunners, 1)) + 1.92) AS b6, ca, ia FROM m, w, s)
     SELECT b1 AND b2 AND b3 AND b4 AND b5 AND b6 AS promote, CASE WHEN b1 AND b2 AND b3 AND b4 AND b5 AND b6 THEN 'at least as good' ELSE 'not better: ' || array_to_string(list_filter([CASE WHEN NOT b1 THEN 'ranks worse' END,
         CASE WHEN NOT b2 THEN 'more false alarms than chance allows' END, CASE WHEN NOT b3 THEN 'wrong on more reviewed events' END, CASE WHEN NOT b4 THEN 'alone it alerts on too much' END,
-        CASE WHEN NOT b5 THEN 'more alerts than the active model' END, CASE WHEN NOT b6 THEN 'alerts on more runners' END], lambda x: x IS NOT NULL), '; ') END AS reason FROM b""")
+        CASE WHEN NOT b5 THEN 'more alerts than the active model' END, CASE WHEN NOT b6 THEN 'alerts on more runners' END], lambda x: x IS NOT NULL), '; ') END AS reason, round(ca, 9) AS candidate_ap, round(ia, 9) AS incumbent_ap FROM b""")
 def promotion_gate(spark, d):
     x = learn.vector()
     rows = V.scored(spark, d).withColumn("candidate", learn.ensemble_score(TREES, x)).join(learn.latest_labels(V.labels(spark, d)), "event_id")
+    rows = materialize(rows.select("event_id", "label", "reviewed", "candidate", "ml_score"))
     held = learn.split(rows, learn.bucket_md5(F.col("event_id"))).filter("part = 'holdout'")
     both = lambda s: learn.average_precision(held, s).crossJoin(learn.holdout_metrics(held, s).select("false_positives"))
     wrong = rows.filter("reviewed").agg(learn.wrong("candidate").alias("candidate_wrong"), learn.wrong("ml_score").alias("incumbent_wrong"))
-    shadow = _shadow(spark, d).withColumn("candidate", learn.ensemble_score(TREES, x))
+    shadow = materialize(_shadow(spark, d).select("rule_hits", "rule_score", "runner_ip", "ml_score", learn.ensemble_score(TREES, x).alias("candidate")))
     alone = lambda s, p: learn.shadow_alerts(shadow, s, SPARSE).select(F.col("alerts").alias(f"{p}_alerts"), F.col("runners").alias(f"{p}_runners"))
     one = shadow.agg(F.count(F.lit(1)).alias("rows")).crossJoin(alone("candidate", "candidate")).crossJoin(alone("ml_score", "incumbent"))
-    return learn.promotion_gate(both("candidate"), both("ml_score"), wrong, one)
+    gate = learn.promotion_gate(both("candidate"), both("ml_score"), wrong, one)
+    return gate.withColumns({c: F.round(c, 9) for c in ("candidate_ap", "incumbent_ap")})
 
 
 _V_REVIEWS = "(SELECT * REPLACE ('v' || (1 + number % 3) AS ml_model) FROM (SELECT r.*, s.number FROM reviews r JOIN scored s USING (event_id)))"

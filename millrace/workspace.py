@@ -43,8 +43,10 @@ def derived(spark: SparkSession, source: str, name: str, write: Callable[[str],
 
     It is written anew where the files have changed and in every application; write(path) writes it below shared_dir().
     """
-    state = spark.read.parquet(source).select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_size").alias("s"))
-    stamp = tuple(state.agg(F.max("t").cast("string"), F.max("s"), F.approx_count_distinct("p")).first())
+    # the name, time and size of every file: one row of the format's metadata a file, no column is read
+    state = spark.read.parquet(source).select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").groupBy("file_path", "file_modification_time", "file_size").agg(F.count(F.lit(1)).alias("rows"))
+    hashed = F.xxhash64("file_path", "file_modification_time", "file_size", "rows").cast("decimal(20,0)")
+    stamp = tuple(state.agg(F.sum(hashed).cast("string"), F.count(F.lit(1)), F.sum("rows")).first())
     key = (spark.sparkContext.applicationId, source, name, stamp)
     if key not in _DERIVED:
         path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -127,22 +127,24 @@ def test_the_first_model_needs_no_incumbent(spark):
     wrong = spark.createDataFrame([(1, 0)], "candidate_wrong long, incumbent_wrong long")
     shadow = spark.createDataFrame([(100, 1, 1, 0, 0)], "rows long, candidate_alerts long, candidate_runners long, incumbent_alerts long, incumbent_runners long")
     first = learn.promotion_gate(one, one.limit(0), wrong, shadow).collect()
-    assert [tuple(r) for r in first] == [(True, "the first model")]
+    assert [tuple(r) for r in first] == [(True, "the first model", 0.7, None)]
     later = learn.promotion_gate(one, one, wrong, shadow).first()
     assert not later["promote"] and "wrong on more reviewed events" in later["reason"]
 
 
-def test_average_precision_is_the_ranking(spark):
+@pytest.mark.parametrize("score", [lambda r: r.choice([0.0, 0.5, 0.5, round(r.random(), 3)]), lambda r: r.random(), lambda r: 0.5 + r.random() / 5000, lambda r: 0.5])
+def test_average_precision_is_the_ranking(spark, score):
+    """Rounded, continuous, close and equal scores."""
     import random
 
     r = random.Random(8)
-    rows = [(f"{r.randrange(10**6):06d}", r.choice([0.0, 0.5, 0.5, round(r.random(), 3)]), int(r.random() < 0.3)) for _ in range(600)]
+    rows = [(f"{r.randrange(10**6):06d}", score(r), int(r.random() < 0.3)) for _ in range(600)]
     rows = list({x[0]: x for x in rows}.values())
     hits, total = 0, 0.0
     for k, (_, _, label) in enumerate(sorted(rows, key=lambda x: (-x[1], x[0])), 1):
         hits += label
         total += label * hits / k
-    got = learn.average_precision(spark.createDataFrame(rows, "event_id string, score double, label int")).first()[0]
+    got = learn.average_precision(spark.createDataFrame(rows, "event_id string, score double, label int").repartition(5)).first()[0]
     assert abs(got - total / hits) < 1e-12
 
 
