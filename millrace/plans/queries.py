@@ -14,6 +14,8 @@ from millrace.plans import views as V
 from millrace.plans.views import sql
 from millrace.settings import BEHAVIOUR, MODEL_FEATURES, MODEL_FLAGS, SPARSE
 from millrace.sources import raw, tables
+from millrace.streaming import job
+from millrace.streaming.truth import delayed_lookups, tally
 from millrace.workspace import materialize, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1145,3 +1147,85 @@ def stored_last_minute(spark, d):
 @query("SELECT runner_ip, count(*) AS events, max(final_anomaly_score) AS strongest, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms FROM scored WHERE recommended_action <> 'ok' AND ts_ms > (SELECT max(ts_ms) FROM scored) - 86400000 GROUP BY 1")
 def morning_list(spark, d):
     return investigate.morning_list(V.scored(spark, d))
+
+
+# streams over the stored tables, replayed in files of rising time
+
+
+def _live(spark: SparkSession) -> SparkSession:
+    """A session of its own for a stream: few state stores, in RocksDB."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(min(spark.sparkContext.defaultParallelism, 4)))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", job.ROCKSDB)
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    return own
+
+
+def _replay(live: SparkSession, rows: DataFrame, at: str, files: int, last: dict) -> DataFrame:
+    """A stream of rows in files of rising `at` (a timestamp), one a batch; at the end rows far ahead move the watermark on."""
+    path = f"{shared_dir(live).rstrip('/')}/replay-{uuid.uuid4().hex}"
+    span = rows.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+    if span["a"] is None:
+        rows.limit(0).write.parquet(f"{path}/part=0")
+    else:
+        width = (span["b"] - span["a"]) / files
+        for i in range(files):
+            upto = F.lit(True) if i == files - 1 else F.col(at) < span["a"] + width * (i + 1)
+            rows.filter((F.col(at) >= span["a"] + width * i) & upto).coalesce(1).write.parquet(f"{path}/part={i}")
+        # each batch works with the watermark of the one before, and so does each join of the one above it
+        for days in (30, 31):
+            ahead = F.lit(span["b"]) + F.expr(f"interval {days} days")
+            one = rows.limit(1).select(*[(ahead if c == at else F.lit(last.get(c))).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+            one.coalesce(1).write.parquet(f"{path}/part={files + days}")
+    return live.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+
+
+def _run(live: SparkSession, stream: DataFrame) -> DataFrame:
+    """What a stream has given when all its files are read."""
+    base = f"{shared_dir(live).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    query = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return live.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+def _lookups(spark, d):
+    """The truth, the decisions (copies among them) and the refusals as three streams, looked up."""
+    live = _live(spark)
+    at = lambda ms: F.timestamp_millis(ms)
+    told = evaluate.truth_window(V.truth(spark, d), V.starts(spark, d)).join(V.raw_events(spark, d).select("offset", "appended_ms"), "offset")
+    told = told.select("event_id", "partition", "offset", "in_window", at("appended_ms").alias("appended_at"))
+    decided = V.stored(spark, d).select("event_id", F.col("recommended_action").alias("action"), at("ingested_ms").alias("decided_at"))
+    refused = V.rejects(spark, d).select("partition", "offset", F.col("reject_reason").alias("reason"), at("appended_ms").alias("rejected_at"))
+    # join keys that are null are left out before they could move a watermark
+    keys = {"event_id": "", "partition": -1, "offset": -1}
+    streams = [_replay(live, rows, name, 3, keys) for rows, name in ((told, "appended_at"), (decided, "decided_at"), (refused, "rejected_at"))]
+    return _run(live, delayed_lookups(*streams, late="1 hour"))
+
+
+@query("SELECT coalesce(reason, 'missing') AS why, count(*) AS events FROM told WHERE in_window AND action IS NULL GROUP BY 1")
+def stream_undecided(spark, d):
+    """As undecided_events, by stream-stream joins whose state ends with the wait."""
+    return evaluate.undecided(_lookups(spark, d).filter("event_id <> ''"))
+
+
+def _tallied(spark, d):
+    live = _live(spark)
+    rows = told(spark, d).filter("action is not null").select("event_id", "scenario", "runner_ip", "action", "ts_ms", F.timestamp_millis("ts_ms").alias("when"))
+    stream = _replay(live, rows, "when", 4, {"event_id": "", "scenario": "normal", "runner_ip": "", "action": "ok"})
+    # the last row's own time is what moves the watermark
+    stream = stream.withColumn("ts_ms", F.unix_millis("when"))
+    return _run(live, tally(stream, SPARSE, late="1 hour"))
+
+
+@query("SELECT scenario, CASE WHEN flagged > 0 THEN 'caught' ELSE 'missed' END AS outcome, known_source, count(*) AS incidents, CAST(sum(events) AS BIGINT) AS events FROM incidents GROUP BY 1, 2, 3")
+def stream_incidents(spark, d):
+    """Incidents as a continuous tally ends them, by event-time timers; each told once."""
+    ended = _tallied(spark, d).filter("kind = 'incident'").withColumn("outcome", F.when(F.col("flagged") > 0, "caught").otherwise("missed"))
+    return ended.groupBy("scenario", "outcome", "known_source").agg(F.count(F.lit(1)).alias("incidents"), F.sum("events").alias("events"))
+
+
+@query(f"""SELECT affected, count(*) AS events FROM (SELECT a.event_id, coalesce(a.ts_ms - max(b.ts_ms) <= {SPARSE.containment_ms}, false) AS affected FROM (SELECT * FROM told WHERE scenario = 'normal' AND action = 'quarantine') a
+    LEFT JOIN told b ON b.runner_ip = a.runner_ip AND b.scenario <> 'normal' AND b.action IS NOT NULL AND b.ts_ms <= a.ts_ms GROUP BY a.event_id, a.ts_ms) GROUP BY 1""")
+def stream_uninvolved(spark, d):
+    """As uninvolved_quarantines, by the same tally."""
+    return _tallied(spark, d).filter("kind = 'quarantine'").groupBy("affected").agg(F.count(F.lit(1)).alias("events"))
