@@ -106,13 +106,48 @@ def score_gbt(rows: DataFrame, model, out: str = "ml_score") -> DataFrame:
     return scored.withColumn(out, F.get(vector_to_array("probability"), 1)).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def export_trees(spark, model, folder: str) -> list[dict]:
+    """A trained model as a dump's trees, read from its saved form at folder. Leaves add up to the log-odds: Spark's margin twice."""
+    nodes: dict[int, dict[int, dict]] = {}
+    for r in spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*").toLocalIterator():  # trees x nodes of the model
+        nodes.setdefault(r["treeID"], {})[r["id"]] = r
+    weights = dict(enumerate(model.treeWeights))
+
+    def node(tree: int, k: int) -> dict:
+        r, value = nodes[tree][k], 2.0 * weights[tree] * nodes[tree][k]["prediction"]
+        if r["leftChild"] < 0:
+            return {"leaf": value}
+        if r["split"]["numCategories"] != -1:
+            raise ValueError("a split on categories: only numbers are known here")
+        return {"feature": r["split"]["featureIndex"], "at": r["split"]["leftCategoriesOrThreshold"][0], "value": value, "left": node(tree, r["leftChild"]), "right": node(tree, r["rightChild"])}
+
+    return [node(t, 0) for t in sorted(nodes)]
+
+
+def dump_ensemble(trees: list[dict]) -> str:
+    """The text that load_ensemble() reads."""
+    return json.dumps({"objective": "binary", "features": MODEL_FEATURES, "trees": trees})
+
+
 # ensembles from a dump: a list of trees, a node being {feature, at, value, left, right} or {leaf}
 
 
 def load_ensemble(text: str) -> list[dict]:
+    """The trees of a dump; ValueError if it is no binary model of these features, or no node in it could be walked."""
     dump = json.loads(text)
-    if dump.get("objective") != "binary" or dump.get("features") != MODEL_FEATURES:
+    if not isinstance(dump, dict) or dump.get("objective") != "binary" or dump.get("features") != MODEL_FEATURES:
         raise ValueError("not a binary model of these features: train it again")
+
+    def sound(node) -> bool:
+        if not isinstance(node, dict):
+            return False
+        if "leaf" in node:
+            return isinstance(node["leaf"], (int, float))
+        f = node.get("feature")
+        return isinstance(f, int) and 0 <= f < len(MODEL_FEATURES) and isinstance(node.get("at"), (int, float)) and sound(node.get("left")) and sound(node.get("right"))
+
+    if not dump.get("trees") or not all(map(sound, dump["trees"])):
+        raise ValueError("the model's trees are not whole: export it again")
     return dump["trees"]
 
 
@@ -282,11 +317,20 @@ def promotion_gate(candidate: DataFrame, incumbent: DataFrame, wrong_on: DataFra
 
 
 def register(spark, path: str, version: str, model, trained_rows: int, metrics: dict, created_ms: int) -> None:
-    """Keep a trained model beside the table of models, and append its row."""
+    """Keep a trained model beside the table of models, and append its row with the dump that scoring jobs load."""
     folder = path.rstrip("/")
     model.write().overwrite().save(f"{folder}/files/{version}")
-    row = [(version, created_ms, trained_rows, json.dumps(metrics, sort_keys=True), f"{folder}/files/{version}")]
-    spark.createDataFrame(row, "version string, created_ms long, trained_rows long, metrics string, model string").write.mode("append").parquet(f"{folder}/models")
+    dump = dump_ensemble(export_trees(spark, model, f"{folder}/files/{version}"))
+    load_ensemble(dump)  # what can't be loaded isn't registered
+    row = [(version, created_ms, trained_rows, json.dumps(metrics, sort_keys=True), f"{folder}/files/{version}", dump)]
+    spark.createDataFrame(row, "version string, created_ms long, trained_rows long, metrics string, model string, dump string").write.mode("append").parquet(f"{folder}/models")
+
+
+def load_active(spark, path: str) -> tuple[str, Column] | None:
+    """(version, score) of the active model at path, for a scoring job that asks again and again; None while none is active."""
+    folder = path.rstrip("/")
+    active = active_model(spark.read.parquet(f"{folder}/activations"), spark.read.parquet(f"{folder}/models")).first()
+    return None if active is None else (active["version"], score_nodes(load_ensemble(active["dump"]), vector()))
 
 
 def activate(spark, path: str, version: str, reason: str, activated_ms: int) -> None:

@@ -892,10 +892,20 @@ def guard_rollback(spark, d):
 
 @query()
 def train_gbt(spark, d):
-    """A model of Spark ML on the labelled decisions, applied to the holdout; five trees of depth 3, to keep the query short."""
+    """A model of full size on the labelled decisions, applied to the holdout by Spark ML and by its exported trees.
+
+    No rows where there are too few labels to train on.
+    """
     rows = materialize(learn.weights(learn.split(learn.training_dataset(V.scored(spark, d), V.labels(spark, d)))))
-    model = learn.train_gbt(rows.filter("part = 'train'"), trees=5, depth=3, min_rows=100, min_incidents=10)
-    return learn.score_gbt(rows.filter("part = 'holdout'"), model).select("event_id", "label", "ml_score")
+    try:
+        model = learn.train_gbt(rows.filter("part = 'train'"))
+    except learn.TooFewRows:
+        return rows.limit(0).select("event_id", "label", F.lit(0.0).alias("ml_score"), F.lit(0.0).alias("exported"))
+    folder = f"{shared_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().save(folder)
+    trees = learn.load_ensemble(learn.dump_ensemble(learn.export_trees(spark, model, folder)))
+    scored = learn.score_gbt(rows.filter("part = 'holdout'"), model).withColumn("exported", learn.score_nodes(trees, learn.vector()))
+    return scored.select("event_id", "label", "ml_score", "exported")
 
 
 # evaluation against the truth
