@@ -72,11 +72,29 @@ def incidents(told: DataFrame, since_ms: Column, settings: Settings = LIVE) -> D
     return per.withColumn("known_source", F.coalesce(F.col("start_ms") <= ended + settings.containment_ms, F.lit(False)))
 
 
-def contained(normals: DataFrame, found: DataFrame, settings: Settings = LIVE) -> DataFrame:
-    """The events of a runner during one of its incidents or its aftermath: an equality join with a range, at most once each."""
-    i = found.select(F.col("runner_ip").alias("_ip"), F.when(F.col("started_before_window"), F.lit(-(1 << 62)).cast("long")).otherwise(F.col("start_ms")).alias("_from"), (F.col("end_ms") + settings.containment_ms).alias("_to"))
-    inside = (normals["runner_ip"] == i["_ip"]) & normals["ts_ms"].between(i["_from"], i["_to"])
-    return normals.join(i, inside, "left_semi")
+#: Width of the time slices of a runner's history, so that a runner of many events is many tasks.
+SLICE_MS = 6 * 3_600_000
+
+
+def contained(normals: DataFrame, found: DataFrame, settings: Settings = LIVE, slice_ms: int = SLICE_MS) -> DataFrame:
+    """The events of a runner during one of its incidents or its aftermath, each once.
+
+    A sweep: an event is inside if the latest end among intervals that began at or before it is not before it. Starts and
+    events are swept in time order within slices of a runner's time; the latest end of all earlier slices, a row for each
+    slice, goes ahead of each. No interval meets an event in a join, whatever their numbers.
+    """
+    begun = F.when(F.col("started_before_window"), F.lit(-(1 << 62)).cast("long")).otherwise(F.col("start_ms"))
+    sliced = F.floor(F.col("_at") / slice_ms)
+    starts = found.filter("runner_ip is not null").select("runner_ip", begun.alias("_at"), (F.col("end_ms") + settings.containment_ms).alias("_to")).withColumn("_slice", sliced)
+    events = normals.filter("runner_ip is not null and ts_ms is not null").withColumn("_at", F.col("ts_ms")).withColumn("_slice", sliced).withColumn("_event", F.lit(1))
+    marks = starts.select("runner_ip", "_slice", "_to").unionByName(events.select("runner_ip", "_slice", F.lit(None).cast("long").alias("_to")))
+    before = Window.partitionBy("runner_ip").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = marks.groupBy("runner_ip", "_slice").agg(F.max("_to").alias("_to")).withColumn("_to", F.max("_to").over(before)).filter("_to is not null")
+    ahead = ahead.withColumn("_at", F.lit(-(1 << 63)).cast("long"))
+    swept = events.withColumn("_to", F.lit(None).cast("long")).unionByName(starts.unionByName(ahead), allowMissingColumns=True)
+    order = Window.partitionBy("runner_ip", "_slice").orderBy("_at", F.col("_event").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    out = swept.withColumn("_latest", F.max("_to").over(order)).filter("_event = 1 and _latest >= ts_ms")
+    return out.select(*normals.columns)
 
 
 def affected(told: DataFrame, settings: Settings = LIVE) -> DataFrame:

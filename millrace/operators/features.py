@@ -19,13 +19,19 @@ from pyspark.sql import functions as F
 from millrace.settings import LIVE, Settings
 
 KEY, ORDER = "runner_ip", "offset"
+#: Long windows in a slice of a key's timeline, and offsets in a slice of its arrivals.
+SLICE_WIDTHS, ARRIVALS = 8, 1_000_000
 
 
-def arrival(key: str = KEY) -> Window:
-    return Window.partitionBy(key).orderBy(ORDER)
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else key
 
 
-def with_effective_time(df: DataFrame, key: str = KEY) -> DataFrame:
+def arrival(key: str | list[str] = KEY) -> Window:
+    return Window.partitionBy(*_keys(key)).orderBy(ORDER)
+
+
+def with_effective_time(df: DataFrame, key: str | list[str] = KEY) -> DataFrame:
     """df with eff: the newest event time of the runner up to the row, in arrival order."""
     return df.withColumn("eff", F.max("ts_ms").over(arrival(key).rowsBetween(Window.unboundedPreceding, 0)))
 
@@ -63,15 +69,15 @@ def distincts() -> dict[str, Column]:
     }
 
 
-def rolling_features(df: DataFrame, settings: Settings = LIVE, key: str = KEY) -> DataFrame:
+def rolling_features(df: DataFrame, settings: Settings = LIVE, key: str | list[str] = KEY) -> DataFrame:
     """Cleaned events with the rolling features of their runner (or of another key)."""
     out = df if "eff" in df.columns else with_effective_time(df, key)
     width = {"short": settings.short_ms, "long": settings.long_ms}
     so_far = arrival(key).rowsBetween(Window.unboundedPreceding, 0)
-    by_time = Window.partitionBy(key).orderBy("eff")
+    by_time = Window.partitionBy(*_keys(key)).orderBy("eff")
     gone = {w: by_time.rangeBetween(Window.unboundedPreceding, -ms - 1) for w, ms in width.items()}
     for name, value in distincts().items():
-        v, mark = f"_v_{name}", Window.partitionBy(key, f"_v_{name}").orderBy(ORDER)
+        v, mark = f"_v_{name}", Window.partitionBy(*_keys(key), f"_v_{name}").orderBy(ORDER)
         out = out.withColumn(v, value)
         before, after = F.lag("eff").over(mark), F.lead("eff").over(mark)
         known = F.col(v).isNotNull()
@@ -92,6 +98,36 @@ def rolling_features(df: DataFrame, settings: Settings = LIVE, key: str = KEY) -
     return out.drop("finished_5m", *[f"_m_{n}" for n in values], *[f"_{k}_{n}" for k in ("new", "last") for n in distincts()])
 
 
+def sliced_effective_time(df: DataFrame, key: str = KEY, arrivals: int = ARRIVALS) -> DataFrame:
+    """with_effective_time(), for keys of any size: the maximum runs within slices of so many offsets, behind that of all slices before."""
+    out = df.withColumn("_arrivals", F.floor(F.col(ORDER) / arrivals))
+    before = Window.partitionBy(key).orderBy("_arrivals").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = out.groupBy(key, "_arrivals").agg(F.max("ts_ms").alias("_newest")).withColumn("_newest", F.max("_newest").over(before))
+    ahead = ahead.select(F.col(key).alias("_key"), F.col("_arrivals").alias("_slice"), "_newest")
+    out = out.join(ahead, out[key].eqNullSafe(F.col("_key")) & (F.col("_arrivals") == F.col("_slice"))).drop("_key", "_slice")
+    within = arrival([key, "_arrivals"]).rowsBetween(Window.unboundedPreceding, 0)
+    return out.withColumn("eff", F.greatest(F.max("ts_ms").over(within), "_newest")).drop("_arrivals", "_newest")
+
+
+def sliced_features(df: DataFrame, settings: Settings = LIVE, key: str = KEY, widths: int = SLICE_WIDTHS, arrivals: int = ARRIVALS) -> DataFrame:
+    """rolling_features(), for keys of any size: a key's timeline is cut into slices, each a task of its own.
+
+    Effective time never falls in order of arrival, so a slice of it, `widths` long windows wide, is a run of arrivals. What
+    a window of its first events can reach lies in the last window width of the slice before; those events go along as
+    history, so they are sent twice, one in `widths` of all.
+    """
+    if widths < 1:
+        raise ValueError("a slice must hold a long window")
+    width = widths * settings.long_ms
+    out = df if "eff" in df.columns else sliced_effective_time(df, key, arrivals)
+    here = F.floor(F.col("eff") / width)
+    place = lambda n, own: F.struct((here + n).alias("_slice"), F.lit(own).alias("_own"))
+    reached = F.col("eff") >= (here + 1) * width - max(settings.long_ms, settings.short_ms)
+    places = F.when(reached, F.array(place(0, True), place(1, False))).otherwise(F.array(place(0, True)))
+    dealt = out.select("*", F.inline(places))
+    return rolling_features(dealt, settings, [key, "_slice"]).filter("_own").drop("_slice", "_own")
+
+
 def dedup_keep_first(df: DataFrame, key: str = KEY) -> DataFrame:
     """The first arrival of each id of a runner."""
     order = Window.partitionBy(key, "event_id").orderBy(ORDER)

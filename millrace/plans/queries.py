@@ -273,6 +273,25 @@ def late_event_window(spark, d):
     return features.rolling_features(late, SPARSE).select("event_id", "eff", "events_1m", "failed_builds_5m", "unique_projects_5m", "distinct_artifacts_5m", "cache_misses_5m")
 
 
+_PROJECT = f""", p_eff AS (SELECT *, max(ts_ms) OVER (PARTITION BY project ORDER BY "offset") AS eff FROM clean)
+    SELECT a.event_id, count(*) FILTER (b.eff >= a.eff - {SPARSE.short_ms}) AS events_1m, count(*) FILTER (b.event_type = 'BUILD_FAILURE') AS failed_builds_5m, count(DISTINCT CASE WHEN b.exit_code > 0 THEN b.exit_code END) AS distinct_exit_codes_5m,
+    count(DISTINCT nullif(b.url_path, '')) AS distinct_artifacts_5m, count(*) FILTER (b.is_slow_step = 1) AS slow_steps_5m
+    FROM p_eff a JOIN p_eff b ON a.project = b.project AND b."offset" <= a."offset" AND b.eff >= a.eff - {SPARSE.long_ms} GROUP BY a."offset", a.event_id"""
+
+
+@query(_PROJECT)
+def project_features(spark, d):
+    """The rolling features of a project, over all its runners; few projects, so each is cut into slices of time."""
+    rows = features.sliced_features(V.clean(spark, d), SPARSE, "project", widths=1, arrivals=20_000)
+    return rows.select("event_id", "events_1m", "failed_builds_5m", "distinct_exit_codes_5m", "distinct_artifacts_5m", "slow_steps_5m")
+
+
+@query(f"SELECT event_id, {', '.join(SHORT + LONG + DISTINCT)} FROM features")
+def sliced_features(spark, d):
+    """As rolling_features and rolling_distinct, with each runner cut into slices of time."""
+    return features.sliced_features(V.clean(spark, d), SPARSE, widths=1).select("event_id", *SHORT, *LONG, *DISTINCT)
+
+
 @query(f"""SELECT runner_ip, count(*) AS held, min("offset") AS first_offset, max(eff) AS newest, count(*) FILTER (event_type = 'BUILD_FAILURE') AS failed FROM (SELECT *, max(eff) OVER (PARTITION BY runner_ip) AS m FROM eff)
     WHERE eff >= m - {SPARSE.long_ms} GROUP BY 1""")
 def window_state_export(spark, d):
@@ -1239,3 +1258,38 @@ def stream_incidents(spark, d):
 def stream_uninvolved(spark, d):
     """As uninvolved_quarantines, by the same tally."""
     return _tallied(spark, d).filter("kind = 'quarantine'").groupBy("affected").agg(F.count(F.lit(1)).alias("events"))
+
+
+def _scored_stream(spark, d, *columns):
+    """The decisions as a stream with ts, in files of rising time."""
+    live = _live(spark)
+    rows = V.scored(spark, d).select(*columns, F.timestamp_millis("ts_ms").alias("ts"))
+    return live, _replay(live, rows, "ts", 3, {c: "" for c in columns if c != "ml_score"})
+
+
+@query("SELECT ts_ms // 3600000 * 3600000 AS start_ms, recommended_action, count(*) AS events FROM scored GROUP BY 1, 2")
+def stream_tumbling(spark, d):
+    """As the tumbling windows, told by a stream once each."""
+    live, stream = _scored_stream(spark, d, "recommended_action")
+    return _run(live, rollups.stream_tumbling(stream, late="1 hour")).filter("recommended_action <> ''")
+
+
+@query(f"""SELECT runner_ip, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, count(*) AS events FROM (SELECT *, sum(CASE WHEN pause > {SPARSE.incident_gap_ms} THEN 1 ELSE 0 END) OVER (PARTITION BY runner_ip ORDER BY ts_ms, "offset") AS s
+    FROM (SELECT runner_ip, ts_ms, "offset", ts_ms - lag(ts_ms) OVER (PARTITION BY runner_ip ORDER BY ts_ms, "offset") AS pause FROM scored WHERE recommended_action <> 'ok')) GROUP BY runner_ip, s""")
+def stream_sessions(spark, d):
+    """Runs of flagged events of a runner, by session windows of a stream."""
+    live, stream = _scored_stream(spark, d, "runner_ip", "recommended_action")
+    sessions = rollups.stream_sessions(stream.filter("recommended_action <> 'ok'"), ["runner_ip"], SPARSE.incident_gap_ms, late="1 hour")
+    return _run(live, sessions).filter("runner_ip <> ''")
+
+
+@query("SELECT start_ms, ml_model, events, true AS median_near, true AS p99_near FROM (SELECT ts_ms // 604800000 * 604800000 AS start_ms, ml_model, count(*) AS events FROM scored GROUP BY 1, 2)")
+def score_quantiles(spark, d):
+    """Sketches of hours, made by a stream and stored, merged to days and weeks; near: the rank is off by 2 % at most."""
+    live, stream = _scored_stream(spark, d, "ml_model", "ml_score")
+    hours = _run(live, rollups.stream_sketches(stream, late="1 hour")).filter("ml_model <> ''")
+    week = 7 * V.DAY
+    weeks = materialize(rollups.sketch_quantiles(rollups.merge_sketches(rollups.merge_sketches(hours), week), (0.5, 0.99)))
+    rows = V.scored(spark, d).select((F.floor(F.col("ts_ms") / week) * week).alias("start_ms"), "ml_model", "ml_score").join(F.broadcast(weeks), ["start_ms", "ml_model"])
+    near = lambda q, p: ((F.count_if(F.col("ml_score") < F.col(q)) / F.count(F.lit(1)) <= p + 0.02) & (F.count_if(F.col("ml_score") <= F.col(q)) / F.count(F.lit(1)) >= p - 0.02))
+    return rows.groupBy("start_ms", "ml_model", "events").agg(near("p50", 0.5).alias("median_near"), near("p99", 0.99).alias("p99_near"))
