@@ -2,28 +2,43 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.rollups import day
 
 
+def newest_ms(events: DataFrame, column: str = "ts_ms") -> int | None:
+    """The newest value, as a number of the driver: filters on it reach the scan. In the event layout one day is read for it."""
+    if column == "ts_ms" and "event_date" in events.columns:
+        day = events.agg(F.max("event_date")).first()[0]
+        events = events.filter(F.col("event_date") == F.lit(day)) if day is not None else events
+    return events.agg(F.max(column)).first()[0]
+
+
+def date_of(ms: int) -> Column:
+    return F.lit((dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=ms)).date())
+
+
 def within_last(events: DataFrame, ms: int, column: str = "ts_ms") -> DataFrame:
-    newest = events.agg(F.max(column).alias("_newest"))
-    return events.crossJoin(F.broadcast(newest)).filter(F.col(column) > F.col("_newest") - ms).drop("_newest")
+    """The rows of the last ms before the newest; days before are not read where the table has them as partitions."""
+    newest = newest_ms(events, column)
+    if newest is None:
+        return events.limit(0)
+    recent = events.filter(F.col(column) > newest - ms)
+    return recent.filter(F.col("event_date") >= date_of(newest - ms)) if column == "ts_ms" and "event_date" in events.columns else recent
 
 
 def event_by_id(events: DataFrame, event_id: str) -> DataFrame:
     return events.filter(F.col("event_id") == event_id)
 
 
-def runner_window(events: DataFrame, runner: str, at_ms: int | Column, around_ms: int = 900_000) -> DataFrame:
-    """A runner's events around a moment; the day bound lets partitions be pruned where the table has them."""
-    at = F.lit(at_ms) if isinstance(at_ms, int) else at_ms
-    near = (F.col("runner_ip") == runner) & F.col("ts_ms").between(at - around_ms, at + around_ms)
-    if "event_date" in events.columns:
-        near = near & F.col("event_date").between(F.to_date(F.timestamp_millis(at - around_ms)), F.to_date(F.timestamp_millis(at + around_ms)))
-    return events.filter(near)
+def runner_window(events: DataFrame, runner: str, at_ms: int, around_ms: int = 900_000) -> DataFrame:
+    """A runner's events around a moment. Bounds are numbers, so partitions of other days are not read, nor row groups without the runner."""
+    near = events.filter((F.col("runner_ip") == runner) & F.col("ts_ms").between(at_ms - around_ms, at_ms + around_ms))
+    return near.filter(F.col("event_date").between(date_of(at_ms - around_ms), date_of(at_ms + around_ms))) if "event_date" in events.columns else near
 
 
 def runner_history(events: DataFrame, runner: str) -> DataFrame:

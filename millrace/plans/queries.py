@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -165,6 +166,32 @@ def incremental_counts(spark, d):
     return tables.incremental(rows, F.col("at") - 10 * V.DAY, F.col("at") - 2000).groupBy("recommended_action").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query("SELECT recommended_action, CAST(count(*) AS BIGINT) AS events FROM stored WHERE ingested_ms <= (SELECT max(ingested_ms) FROM stored) - 2000 GROUP BY 1")
+def incremental_marks(spark, d):
+    """Counts read in three steps, each committed with the mark that the next one begins at."""
+    rows = V.stored(spark, d)
+    at = investigate.newest_ms(rows, "ingested_ms") or 0
+    read = tables.Progress(spark, f"{shared_dir(spark).rstrip('/')}/marks-{uuid.uuid4().hex}")
+    for upto in (at - 20 * V.DAY, at - 10 * V.DAY, at - 2000):
+        read.step(upto, lambda since, upto: tables.incremental(rows, since, upto).groupBy("recommended_action").agg(F.count(F.lit(1)).alias("events")))
+    return read.results().groupBy("recommended_action").agg(F.sum("events").alias("events"))
+
+
+@query("SELECT ts_ms // 86400000 * 86400000 AS day_ms, count(*) AS events FROM clean WHERE ts_ms // 86400000 >= (SELECT max(ts_ms) // 86400000 FROM clean) - 7 GROUP BY 1")
+def relayout_switch(spark, d):
+    """The cleaned events behind a pointer: copied to the event layout, switched after the hourly comparison, old days dropped."""
+    base = f"{shared_dir(spark).rstrip('/')}/pointer-{uuid.uuid4().hex}"
+    columns = ["event_id", "runner_ip", "ts_ms", "event_type", "offset"]
+    V.clean(spark, d).select(*columns).write.parquet(f"{base}/old")
+    table = tables.Pointer(spark, f"{base}/pointer")
+    table.create(f"{base}/old")
+    table.relayout(f"{base}/new", columns)
+    newest = table.read().agg(F.max("event_date")).first()[0]
+    if newest is not None:
+        table.drop_before(newest - dt.timedelta(days=7))
+    return table.read().groupBy((F.floor(F.col("ts_ms") / V.DAY) * V.DAY).alias("day_ms")).agg(F.count(F.lit(1)).alias("events"))
+
+
 # stateless stages
 
 
@@ -1119,27 +1146,29 @@ def parameterised_read(spark, d):
 @query("SELECT event_id, runner_ip, ts_ms, rule_hits FROM scored WHERE event_id = (SELECT max(event_id) FROM scored)")
 def inv_event_by_id(spark, d):
     rows = V.scored(spark, d)
-    last = F.broadcast(rows.agg(F.max("event_id").alias("event_id")))
-    return rows.join(last, "event_id").select("event_id", "runner_ip", "ts_ms", "rule_hits")
+    last = rows.agg(F.max("event_id")).first()[0]
+    return investigate.event_by_id(rows, last).select("event_id", "runner_ip", "ts_ms", "rule_hits")
 
 
 _BUSIEST = "(SELECT runner_ip FROM scored GROUP BY 1 ORDER BY count(*) DESC, runner_ip LIMIT 1)"
 
 
 def _busiest(rows):
-    return F.broadcast(rows.groupBy("runner_ip").agg(F.count(F.lit(1)).alias("_n"), F.max("ts_ms").alias("_at")).orderBy(F.desc("_n"), "runner_ip").limit(1).drop("_n"))
+    """The runner of most events and its newest one, as values: what is asked about it then reaches the scan."""
+    one = rows.groupBy("runner_ip").agg(F.count(F.lit(1)).alias("n"), F.max("ts_ms").alias("at")).orderBy(F.desc("n"), "runner_ip").first()
+    return ("", 0) if one is None else (one["runner_ip"], one["at"])
 
 
 @query(f"SELECT event_id, ts_ms, recommended_action FROM scored WHERE runner_ip = {_BUSIEST} AND ts_ms >= (SELECT max(ts_ms) FROM scored WHERE runner_ip = {_BUSIEST}) - 5 * 86400000")
 def inv_runner_window(spark, d):
     rows = V.scored(spark, d)
-    return rows.join(_busiest(rows), "runner_ip").filter(F.col("ts_ms").between(F.col("_at") - 5 * V.DAY, F.col("_at") + 5 * V.DAY)).select("event_id", "ts_ms", "recommended_action")
+    return investigate.runner_window(rows, *_busiest(rows), 5 * V.DAY).select("event_id", "ts_ms", "recommended_action")
 
 
 @query(f"SELECT {_DAY} AS day, recommended_action, count(*) AS events, max(rule_score) AS strongest FROM scored WHERE runner_ip = {_BUSIEST} GROUP BY 1, 2")
 def inv_runner_history(spark, d):
     rows = V.scored(spark, d)
-    own = rows.join(_busiest(rows), "runner_ip")
+    own = rows.filter(F.col("runner_ip") == _busiest(rows)[0])
     return own.groupBy(rollups.day().cast("string").alias("day"), "recommended_action").agg(F.count(F.lit(1)).alias("events"), F.max("rule_score").alias("strongest"))
 
 

@@ -13,7 +13,7 @@ from millrace.functions.clean import clean_events
 from millrace.operators.features import rolling_features
 from millrace.operators.rules import score_events
 from millrace.settings import SPARSE
-from millrace.sources.tables import write_events
+from millrace.sources.tables import sized_files, write_events
 from millrace.workspace import derived, spread
 
 MESSAGES = ["internal compiler error: in expand", "Killed", "write failed: No space left on device", "checksum mismatch for entry", "expected ';' before", "undefined reference to main", "AssertionError: 1 != 2", "test timed out"]
@@ -103,11 +103,10 @@ def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decisions as the job stores them, in the event table's layout; rollups, checks and investigations read this."""
-    days = 30
 
     def write(path: str) -> None:
-        rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-        write_events(decided(spark, sf_dir), path, files_a_day=1 + rows // (days * 1_000_000), mode="errorifexists")
+        files = sized_files(source(spark, sf_dir).select(F.col("at_ms").alias("ts_ms")))
+        write_events(decided(spark, sf_dir), path, files, mode="errorifexists")
 
     return derived(spark, f"{sf_dir}/events.parquet", "decisions", write)
 
