@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe, mixing, pii, quality, simhash
-from millrace.llm.common import shared_dir
+from millrace.llm.common import set_aside, shared_dir
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts, with all their columns as they are.
+
+    Null and empty texts are judged like any other; repeated rows alike; a row without an id is judged, but teaches nothing.
+    """
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.classify(docs, model).filter("predicted = 1").select(docs.columns)
+    own, back = set_aside(docs, ("held_out", "score", "predicted"))
+    return back(quality.classify(own, model).filter("predicted = 1"))
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +27,12 @@ def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without personal data; a null text stays null, other columns stay as they are."""
     return pii.sanitise(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of all sources, each document as often as it is taken; documents without words and null texts are taken alike."""
     return mixing.mix(docs)
 
 

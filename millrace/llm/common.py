@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.workspace import materialize, shared_dir
 
-__all__ = ["BROADCAST_ROWS", "WORD", "bound_batches", "bounded_broadcast", "documents", "free_name", "materialize", "shared_dir", "skew_join", "text_or_empty"]
+__all__ = ["BROADCAST_ROWS", "WORD", "bound_batches", "bounded_broadcast", "documents", "free_name", "materialize", "set_aside", "shared_dir", "skew_join", "text_or_empty"]
 
 #: Word characters of every size and shingle contract: all but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,5 +54,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with its own columns of these names out of the way, and what gives a result the columns of df again."""
+    taken = {n.lower() for n in names}
+    moved = {c: free_name(df, f"_own_{c}") for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(moved), lambda out: out.select(*[F.col(f"`{moved.get(c, c)}`").alias(c) for c in df.columns])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -7,7 +7,8 @@ size; each of its documents is taken floor(rate) times, and once more if a numbe
 doc_id is under the rest. The seed is a parameter, so reruns agree, and equal rows are decided alike.
 
 Defined results: a null text has no words and takes none; null is a source of its own, last in order; an empty table mixes
-to an empty table; sources without words have target 0. Columns of the input with the names of the output are replaced.
+to an empty table; sources without words have target 0. plan() replaces columns of the input
+with the names of its own, mix() keeps them as they are.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, bounded_broadcast, free_name, materialize
+from millrace.llm.common import WORD, bounded_broadcast, free_name, materialize, set_aside
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -82,7 +83,7 @@ def plan(
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of docs."""
-    planned = plan(docs, **how)
+    own, back = set_aside(docs, ("size", "source_size", "target", "copies"))
+    planned = plan(own, **how)
     n = free_name(planned, "_n")
-    taken = planned.filter("copies > 0").withColumn(n, F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(planned.filter("copies > 0").withColumn(n, F.explode(F.sequence(F.lit(1), F.col("copies")))))
