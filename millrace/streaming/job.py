@@ -74,15 +74,17 @@ def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame], None]:
 
 def start(
     raw: DataFrame, events_path: str, rejects_path: str, suspicious_path: str, checkpoint: str, settings: Settings = LIVE,
-    model: HotModel | None = None, idle: bool = False, counters_path: str | None = None, publish: Callable[[DataFrame], None] | None = None, **trigger,
+    model: HotModel | None = None, idle: bool | None = None, counters_path: str | None = None, publish: Callable[[DataFrame], None] | None = None, **trigger,
 ) -> list[StreamingQuery]:
     """Start the two queries of the job over one topic: decisions (with the suspicious ones beside) and dead letters.
 
-    counters_path: where the counters of each batch go, refused messages by reason among them. publish: called with
+    idle: forget runners that were silent for the idle time, else their state stays; left open, live triggers forget and
+    availableNow, whose timers would keep it from ending, does not. counters_path: where the counters of each batch go, refused messages by reason among them. publish: called with
     topic_rows() of each batch before the batch counts as done, so at least once.
     """
     good, refused = split(raw, settings)
-    featured = stream_features(good, settings, idle)
+    trigger = trigger or {"availableNow": True}
+    featured = stream_features(good, settings, "availableNow" not in trigger if idle is None else idle)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         scored = score(batch, settings, model.at(batch_id) if model else None)
@@ -104,7 +106,6 @@ def start(
             by.select(F.lit("rejected").alias("counter"), "label", "events").write.mode("overwrite").parquet(f"{counters_path}/query=rejects/batch={batch_id}")
         batch.unpersist()
 
-    trigger = trigger or {"availableNow": True}
     one = featured.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/events").trigger(**trigger).start()
     two = refused.writeStream.foreachBatch(write_refused).option("checkpointLocation", f"{checkpoint}/rejects").trigger(**trigger).start()
     return [one, two]

@@ -1,8 +1,9 @@
 """The per-runner state of the event stream: deduplication, rolling features and idle forgetting, row by row in arrival order.
 
-The features are those of millrace.operators.features over the same input. State per runner: the newest event time, the
-records of the long window (appended at the end, dropped from the head), and the ring of recent ids; all in Spark's state
-store, so a lost executor's runners are restored from the checkpoint. Python handles one runner's new rows at a time.
+The features are those of millrace.operators.features over the same input. State per runner, all in Spark's state store, so
+a lost executor's runners are restored from the checkpoint: the records of the long window, a map entry for what each batch
+added, dropped whole when all of it is too old; and the ring of recent ids in parts. A batch writes its own records and the
+parts of the ring that it changes, however long the window is. Python handles one runner's new rows at a time.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from millrace.settings import LIVE, LONG_FEATURES, SHORT_FEATURES, Settings
 
-RECORD = "eff long, kind string, project string, code int, url string, status int, bytes long, oom int, rogue int, signature int, slow int, miss int"
+RECORD = "eff: bigint, kind: string, project: string, code: int, url: string, status: int, bytes: bigint, oom: int, rogue: int, signature: int, slow: int, miss: int"
+#: Ids in a part of the ring.
+RING_PART = 64
 FEATURES = [*SHORT_FEATURES, *LONG_FEATURES]
 
 
@@ -96,39 +99,48 @@ class RunnerProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.log = handle.getListState("log", RECORD)
-        self.ring = handle.getValueState("ring", "ids array<string>, at int")
-        self.seen = handle.getValueState("seen", "processed_ms long")
+        self.log = handle.getMapState("log", "batch long", f"rows array<struct<{RECORD}>>")
+        self.ring = handle.getMapState("ring", "part int", "ids array<string>")
+        self.place = handle.getValueState("place", "batch long, at int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n = self.settings.recent_ids
+        entries = sorted((k[0], [tuple(r) for r in v[0]]) for k, v in self.log.iterator())
+        window = RunnerWindow(self.settings, [r for _, part in entries for r in part])
+        ids = [i for _, part in sorted((k[0], v[0]) for k, v in self.ring.iterator()) for i in part]
+        batch_number, at = self.place.get() if self.place.exists() else (0, 0)
+        held, changed, added, out = set(ids), set(), [], []
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values(["partition", "offset"], kind="stable")  # a micro-batch has no order within a key
-        window = RunnerWindow(self.settings, list(self.log.get()) if self.log.exists() else [])
-        ids, at = self.ring.get() if self.ring.exists() else ([], 0)
-        ids, held, out = list(ids), set(ids), []
         for row in batch.to_dict("records"):
             prefix = row["event_id"].replace("-", "")[:16].lower()
             if prefix in held:
                 continue
-            if len(ids) < self.settings.recent_ids:
+            if len(ids) < n:
                 ids.append(prefix)
             else:
                 held.discard(ids[at])
                 ids[at] = prefix
-            at = (at + 1) % self.settings.recent_ids
+            changed.add(at // RING_PART)
+            at = (at + 1) % n
             held.add(prefix)
             ts = int(row["ts_ms"])
             eff = ts if window.newest is None else max(ts, window.newest)
-            window.add(record(row, eff))
+            added.append(record(row, eff))
+            window.add(added[-1])
             out.append([row[c] for c in self.columns] + [eff, *window.features()])
-        self.log.put(list(window.records))
-        self.ring.update((ids, at))
+        if added:
+            self.log.updateValue((batch_number,), (added,))
+            for part in changed:
+                self.ring.updateValue((part,), (ids[part * RING_PART : min((part + 1) * RING_PART, n)],))
+            self.place.update((batch_number + 1, at))
+            for number, part in entries:
+                if window.newest - part[-1][0] > self.settings.long_ms:
+                    self.log.removeKey((number,))
         if self.idle:
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.seen.update((now,))
             for t in self.handle.listTimers():
                 self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
-            self.handle.registerTimer(now + self.settings.idle_ms)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.settings.idle_ms)
         if out:
             yield pd.DataFrame(out, columns=[*self.columns, "eff", *FEATURES])
 
@@ -136,7 +148,7 @@ class RunnerProcessor(StatefulProcessor):
         """A runner silent for the idle time is forgotten at once."""
         self.log.clear()
         self.ring.clear()
-        self.seen.clear()
+        self.place.clear()
         return iter(())
 
     def close(self) -> None:
@@ -144,7 +156,7 @@ class RunnerProcessor(StatefulProcessor):
 
 
 def stream_features(cleaned: DataFrame, settings: Settings = LIVE, idle: bool = False) -> DataFrame:
-    """Cleaned events of a stream with eff and the rolling features. One exchange, on the runner. idle needs a live trigger."""
+    """Cleaned events of a stream with eff and the rolling features. One exchange, on the runner. idle forgets silent runners."""
     columns = [c for c in cleaned.columns if c not in ("ts", *FEATURES)]
     kinds = {f.name: f.dataType.simpleString() for f in cleaned.schema.fields}
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in columns], "eff long", feature_schema()])
