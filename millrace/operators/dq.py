@@ -160,6 +160,13 @@ def flow_rates(snapshots: DataFrame, seconds: Column | None = None) -> DataFrame
     )
 
 
+def counter_increases(samples: DataFrame) -> DataFrame:
+    """(counter, label, increase) from (counter, label, value, sampled_ms): the last sample less the first, never below 0."""
+    at = F.struct("sampled_ms", "value")
+    grown = F.max_by("value", at) - F.min_by("value", at)
+    return samples.groupBy("counter", "label").agg(F.greatest(grown, F.lit(0.0)).alias("increase"))
+
+
 def health(rates: DataFrame, min_rate: float = 1.0, max_lag_s: float = 120, min_output: float = 0.5, max_rejected: float = 0.01, max_intake_s: float = 60) -> DataFrame:
     """(stage, check_name, severity, op, threshold, value, passed) from the rates of the topics raw, scored and rejected."""
     pick = lambda t, c: F.max(F.when(F.col("topic") == t, F.col(c)))

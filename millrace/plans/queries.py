@@ -1122,6 +1122,13 @@ def metric_increase(spark, d):
     return evaluate.increase_over(_distinct_samples(spark, d), ["job"], 6 * 3_600_000).select("job", "ts_ms", "increase", "total")
 
 
+@query(f"{_SAMPLES} SELECT 'job' AS counter, CAST(job AS VARCHAR) AS label, greatest(arg_max(value, ts_ms) - arg_min(value, ts_ms), 0)::DOUBLE AS increase FROM one GROUP BY job")
+def counter_increases(spark, d):
+    """What each job's counter gained between its first and last sample; one that was reset below its start gained nothing."""
+    rows = _distinct_samples(spark, d).select(F.lit("job").alias("counter"), F.col("job").cast("string").alias("label"), "value", F.col("ts_ms").alias("sampled_ms"))
+    return dq.counter_increases(rows)
+
+
 @query(f"{_SAMPLES}, periods AS (SELECT *, sum(CASE WHEN total > 80 THEN 0 ELSE 1 END) OVER (PARTITION BY job ORDER BY ts_ms) AS period FROM total) SELECT job, min(ts_ms) AS start_ms, max(ts_ms) AS end_ms FROM periods WHERE total > 80 GROUP BY job, period HAVING max(ts_ms) - min(ts_ms) >= 1800000")
 def alert_rules(spark, d):
     rates = evaluate.increase_over(_distinct_samples(spark, d), ["job"], 6 * 3_600_000)

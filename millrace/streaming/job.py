@@ -19,6 +19,7 @@ from millrace.operators.dq import issue_counts, with_issues
 from millrace.operators.rules import apply_model, apply_rules
 from millrace.settings import LIVE, Settings
 from millrace.sources.raw import dead_letters, decode
+from millrace.streaming.progress import counted
 from millrace.streaming.stateful import stream_features
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -106,6 +107,6 @@ def start(
             by.select(F.lit("rejected").alias("counter"), "label", "events").write.mode("overwrite").parquet(f"{counters_path}/query=rejects/batch={batch_id}")
         batch.unpersist()
 
-    one = featured.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/events").trigger(**trigger).start()
-    two = refused.writeStream.foreachBatch(write_refused).option("checkpointLocation", f"{checkpoint}/rejects").trigger(**trigger).start()
+    one = counted(featured, "scored").writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/events").trigger(**trigger).start()
+    two = counted(refused, "rejected").writeStream.foreachBatch(write_refused).option("checkpointLocation", f"{checkpoint}/rejects").trigger(**trigger).start()
     return [one, two]
