@@ -77,11 +77,17 @@ def wire_frame_split(spark, d):
     return raw.split_frame(_framed(spark, d)).select("offset", "wire_error", "schema_id")
 
 
-@query("""SELECT "offset", CASE WHEN k IN (87, 90) THEN 'not_avro_framed' WHEN k = 89 THEN 'unknown_schema_version' WHEN k = 88 THEN 'undecodable_payload' END AS wire_error,
-    CASE WHEN k NOT IN (87, 88, 89, 90) THEN event_id END AS event_id, CASE WHEN k NOT IN (87, 88, 89, 90) THEN exit_code END AS exit_code,
-    CASE WHEN k NOT IN (87, 88, 89, 90) AND k % 10 <> 1 THEN url_path END AS url_path FROM raw""")
+#: Fields that are the same in every message of the views, and so not in their SQL.
+_ALIKE = {c: "CAST(NULL AS VARCHAR)" for c in ("outcome", "dest_ip", "triggered_by", "user_agent", "process_name")} | {"log_source": "'agent'", "protocol": "'TCP'", "parent_process": "'make'"}
+_FIELDS_SQL = ", ".join(
+    f"""CASE WHEN k NOT IN (87, 88, 89, 90){'' if c in raw.FIRST_VERSION else ' AND k % 10 <> 1'} THEN {_ALIKE.get(c, f'"{c}"')} END AS "{c}\"""" for c in raw.fields()
+)
+
+
+@query(f"""SELECT "offset", CASE WHEN k IN (87, 90) THEN 'not_avro_framed' WHEN k = 89 THEN 'unknown_schema_version' WHEN k = 88 THEN 'undecodable_payload' END AS wire_error, {_FIELDS_SQL} FROM raw""")
 def decode_versions(spark, d):
-    return raw.decode(_framed(spark, d)).select("offset", "wire_error", "event_id", "exit_code", "url_path")
+    """Every field of every message."""
+    return raw.decode(_framed(spark, d)).select("offset", "wire_error", *raw.fields())
 
 
 def _wire_rejects(spark, d):
@@ -713,13 +719,15 @@ def review_budget(spark, d):
 
 
 def _told(names: list[str]) -> str:
-    """SQL for name=value of what is neither empty nor zero."""
-    one = [f"CASE WHEN CAST({c} AS VARCHAR) NOT IN ('', '0') THEN '{c}=' || substr(CAST({c} AS VARCHAR), 1, {review.SHORT}) END" for c in names]
+    """SQL for name=value of what is neither empty nor zero. The views' SQL leaves out the parent process, which is always make."""
+    one = ["'parent_process=make'" if c == "parent_process" else f"CASE WHEN CAST({c} AS VARCHAR) NOT IN ('', '0') THEN '{c}=' || substr(CAST({c} AS VARCHAR), 1, {review.SHORT}) END" for c in names]
     return f"concat_ws('; ', {', '.join(one)})"
 
 
 @query(f"""SELECT event_id, concat_ws(chr(10), event_type || ' on ' || runner_ip || ' was judged ' || recommended_action || CASE WHEN rule_hits <> '' THEN ' by ' || rule_hits WHEN ml_reason <> '' THEN ' by the model' ELSE '' END,
-    CASE event_type {' '.join(f"WHEN '{kind}' THEN {_told(names)}" for kind, names in review.SHOWN.items() if kind not in ('BUILD_STARTED', 'TEST_RUN'))} ELSE '' END, {_told(['events_1m', *BEHAVIOUR])}) AS description FROM scored""")
+    concat_ws(', ', CASE WHEN is_internal_ip = 1 THEN 'internal' ELSE 'external' END, CASE WHEN is_night = 1 THEN 'at night' ELSE 'by day' END, CASE WHEN process_uid >= 0 THEN 'user ' || process_uid END,
+        'model score ' || CAST(floor(ml_score * 100 + 0.5) AS BIGINT) || ' of 100'),
+    CASE event_type {' '.join(f"WHEN '{kind}' THEN {_told(names)}" for kind, names in review.SHOWN.items() if kind not in ('BUILD_STARTED', 'TEST_RUN'))} ELSE '' END, {_told(['events_1m', 'failed_builds_1m', *BEHAVIOUR])}) AS description FROM scored""")
 def describe_event(spark, d):
     return V.scored(spark, d).select("event_id", review.describe().alias("description"))
 

@@ -153,3 +153,18 @@ def test_training_needs_rows(spark):
 
     with pytest.raises(learn.TooFewRows):
         learn.train_gbt(spark.createDataFrame([(0,)], "label int"))
+
+
+def test_a_reviewer_is_told_the_whole_event(spark):
+    from millrace.settings import BEHAVIOUR
+
+    row = {
+        "event_type": "COMPILE_STEP", "runner_ip": "10.0.0.1", "recommended_action": "alert", "rule_hits": "rogue_command", "ml_reason": "", "is_internal_ip": 1, "is_night": 1, "process_uid": 0, "ml_score": 0.125,
+        "project": "p", "step": "link", "command": "c" * 200, "parent_process": "make", "exit_code": 0, "duration_ms": 5, "peak_memory_mb": 512, "cache_status": "hit", "error_message": "boom", "triggered_by": "", "reason": "",
+        "http_method": "", "url_path": "", "http_status": 0, "bytes_sent": 0, "events_1m": 3, "failed_builds_1m": 2, **{c: 0 for c in BEHAVIOUR},
+    }
+    told = spark.createDataFrame([row]).select(review.describe().alias("t")).first()["t"].split("\n")
+    assert told == [
+        "COMPILE_STEP on 10.0.0.1 was judged alert by rogue_command", "internal, at night, user 0, model score 13 of 100",
+        "project=p; step=link; command=" + "c" * 80 + "; parent_process=make; duration_ms=5; peak_memory_mb=512; cache_status=hit; error_message=boom", "events_1m=3; failed_builds_1m=2",
+    ]
