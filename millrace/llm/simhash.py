@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -112,10 +114,13 @@ def near_duplicates(
 
 #: The near-copy stage: bits of its fingerprint, the least similarity, and the share of such pairs that some band must meet.
 WIDE, SIMILAR, RECALL = 1024, 0.8, 0.98
-#: Part of the bits that a pair of the least similarity differs in, and the bits of 64 that it hardly ever exceeds (0.03 %).
-MOVED, WORD_DISTANCE = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi, 20
-#: The same of the whole fingerprint (0.03 % lie 3.43 deviations above the mean), and the most fingerprints that are broadcast (50 MB).
-WIDE_DISTANCE, WIDE_ROWS = math.ceil(WIDE * MOVED + 3.43 * math.sqrt(WIDE * MOVED * (1 - MOVED))), 300_000
+#: Part of the bits that a pair of the least similarity differs in, and how many of 64 and of all bits it exceeds in one case of
+#: a million at most (5 deviations above the mean).
+MOVED = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
+WORD_DISTANCE, WIDE_DISTANCE = (math.ceil(n * MOVED + 5 * math.sqrt(n * MOVED * (1 - MOVED))) for n in (64, WIDE))
+#: Bits of the parity sketch, the part of two sets' sizes that pairs of the least similarity differ in at most, and the most
+#: fingerprints with sketches that are broadcast (120 MB).
+PARITY, DIFFERENT, WIDE_ROWS = 2048, (1 - SIMILAR) / (1 + SIMILAR), 300_000
 
 
 def _normal(text: str) -> list[bytes]:
@@ -140,9 +145,18 @@ def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
     return np.unique(np.array([digest(joined[s:e], SEED) for s, e in zip(starts[: len(ends)].tolist(), ends, strict=True)], "<u8"))
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """Which of 2,048 cells hold an odd number of the shingles. Two sets differ in at least as many shingles as sketches in bits."""
+    cells = np.bincount((shingles & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY)
+    return np.packbits((cells & 1).astype(bool), bitorder="little").tobytes()
+
+
 def wide_print(text: str, width: int = WIDTH) -> bytes:
     """The SimHash of 1,024 bits over the different shingles; each hash is stretched by splitmix64."""
-    shingles = shingle_set(text, width)
+    return print_of(shingle_set(text, width))
+
+
+def print_of(shingles: np.ndarray) -> bytes:
     votes = np.zeros(WIDE, np.int64)
     steps = np.arange(1, WIDE // 64 + 1, dtype="<u8") * np.uint64(0x9E3779B97F4A7C15)
     for k in range(0, len(shingles), 4096):
@@ -208,7 +222,9 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     so of each bucket only those outside its largest component meet all members of other components, none left out but the
     least node, which has met them all. A group of thousands of near-copies costs its size that way, and only buckets of many
     unlinked texts cost their square. Pairs leave the join if their whole fingerprints are no further apart than
-    WIDE_DISTANCE, and only these have their shingle sets brought together.
+    WIDE_DISTANCE, and only these have their shingle sets brought together. Where prints also has s (a parity sketch) and n
+    (the number of different shingles), pairs that differ in too many shingles by these leave no join either: a bound that
+    never rejects a pair of the least similarity, and holds off nearly all others of up to some 2,000 shingles.
     """
 
     @F.pandas_udf("array<long>")
@@ -218,15 +234,21 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
 
     shared = meetings(prints, prints.count())
     met_any = shared.select("node").distinct()
-    wide = materialize(prints.join(met_any, "node", "left_semi").select("node", longs("f").alias("w")))
+    sketched = {"s", "n"} <= set(prints.columns)
+    more = [longs("s").alias("s"), "n"] if sketched else []
+    wide = materialize(prints.join(met_any, "node", "left_semi").select("node", longs("f").alias("w"), *more))
     known = wide.count()
-    whole = lambda node, w: bounded_broadcast(wide.select(F.col("node").alias(node), F.col("w").alias(w)), known, WIDE_ROWS)
+    whole = lambda node, w: bounded_broadcast(wide.select(F.col("node").alias(node), *[F.col(c).alias(c + w[1:]) for c in wide.columns[1:]]), known, WIDE_ROWS)
     bits = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
-    apart = sum((F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(1, WIDE // 64)), F.bit_count(F.col("wa")[0].bitwiseXOR(F.col("wb")[0])))
+    distance = lambda x, y, longs: reduce(add, (F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(longs)))
+    near = distance("wa", "wb", WIDE // 64) <= WIDE_DISTANCE
+    if sketched:
+        most = F.lit(DIFFERENT) * (F.col("na") + F.col("nb")) + 1e-6
+        near = (F.abs(F.col("na") - F.col("nb")) <= most) & near & (distance("sa", "sb", PARITY // 64) <= most)
     key = Window.partitionBy("key")
     star = shared.withColumn("least", F.min(F.struct("node", "f0")).over(key)).select(F.col("node").alias("a"), F.col("least.node").alias("b"), "f0", F.col("least.f0").alias("g0"))
     star = star.filter("a <> b").filter(bits("f0", "g0") <= WORD_DISTANCE).select("a", "b").distinct()
-    star = star.join(whole("a", "wa"), "a").join(whole("b", "wb"), "b").filter(apart <= WIDE_DISTANCE)
+    star = star.join(whole("a", "wa"), "a").join(whole("b", "wb"), "b").filter(near)
     links = verified(star.select("a", "b"), docs, width)
     found = components(links)
     rooted = shared.join(bounded_broadcast(found, found.count()), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -237,7 +259,7 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra")).join(whole("a", "wa"), "a")
     met = x.join(
         rooted.join(whole("node", "wb"), "node"),
-        (x["key"] == rooted["key"]) & (F.col("ra") != F.col("root")) & (~F.col("minor") | (F.col("a") < F.col("node"))) & (bits("f0", "g0") <= WORD_DISTANCE) & (apart <= WIDE_DISTANCE),
+        (x["key"] == rooted["key"]) & (F.col("ra") != F.col("root")) & (~F.col("minor") | (F.col("a") < F.col("node"))) & (bits("f0", "g0") <= WORD_DISTANCE) & near,
     )
     return links.unionByName(verified(met.select("a", F.col("node").alias("b")), docs, width))
 
@@ -255,16 +277,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         for batch in batches:
             yield pd.Series([node_of(t) for t in batch], dtype="int64")
 
-    @F.pandas_udf("binary")
-    def wide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("node long, f binary, s binary, n long")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.Series([wide_print(t, width) for t in batch], dtype=object)
+            sets = ((node_of(t), shingle_set(t, width)) for t in batch)
+            rows = [(node, print_of(shingles), parity_sketch(shingles), len(shingles)) for node, shingles in sets]
+            yield pd.DataFrame(rows, columns=["node", "f", "s", "n"])
 
     bound_batches(docs.sparkSession)
     text = text_or_empty(text_col)
-    prints = materialize(docs.select(F.col(id_col).alias("id"), number(text).alias("node"), wide(text).alias("f")))
-    unique = materialize(prints.groupBy("node").agg(F.first("f").alias("f"), F.min("id").alias("least")))
-    found = components(similar(unique.select("node", "f"), docs.select(number(text).alias("node"), text.alias("text")), width))
+    prints = materialize(docs.select(F.col(id_col).alias("id"), known(text).alias("of")).select("id", "of.*"))
+    unique = materialize(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("f", "s", "n")], F.min("id").alias("least")))
+    found = components(similar(unique.select("node", "f", "s", "n"), docs.select(number(text).alias("node"), text.alias("text")), width))
     rooted = unique.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "node")).alias("best"))
     key, node, again = (free_name(docs, n) for n in ("_kept_id", "_kept_node", "_node"))

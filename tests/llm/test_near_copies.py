@@ -69,3 +69,23 @@ def test_no_member_of_a_bucket_is_skipped(spark, monkeypatch):
 def test_bands_grow_with_the_nodes(nodes):
     chosen = simhash.bands(nodes)
     assert nodes / 2 ** chosen.shape[1] <= 0.25 and 1 - (1 - (1 - simhash.MOVED) ** chosen.shape[1]) ** len(chosen) >= simhash.RECALL
+
+
+def test_the_sketch_rejects_no_link_and_most_others(spark):
+    """Pairs on both sides of 0.8 that all meet in one bucket: with sketches the links are the same, and few others are verified."""
+    r = random.Random(13)
+    pairs = [planted(r, kept, 200) for kept in (0.7, 0.74, 0.78, 0.79, 0.81, 0.83, 0.9) for _ in range(8)]
+    for a, b in pairs:
+        x, y = (simhash.shingle_set(t) for t in (a, b))
+        differing = len(np.setxor1d(x, y))
+        bits = int.from_bytes(simhash.parity_sketch(x)) ^ int.from_bytes(simhash.parity_sketch(y))
+        assert bits.bit_count() <= differing
+        if jaccard(a, b) >= 0.8:
+            assert differing <= simhash.DIFFERENT * (len(x) + len(y)) + 1e-6
+        elif jaccard(a, b) < 0.76:
+            assert bits.bit_count() > simhash.DIFFERENT * (len(x) + len(y))
+    prints, docs, _ = prints_of(spark, [t for p in pairs for t in p] + [""])
+    rows = [(n, simhash.parity_sketch(simhash.shingle_set(t)), len(simhash.shingle_set(t))) for n, t in docs.collect()]
+    sketched = prints.join(spark.createDataFrame(rows, "node long, s binary, n long"), "node")
+    links = lambda p: {tuple(sorted(x)) for x in simhash.similar(p, docs).collect()}
+    assert links(sketched) == links(prints)
