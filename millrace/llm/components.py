@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import BROADCAST_ROWS, materialize
 
 
-def _look_up(left: DataFrame, right: DataFrame, key: str, limit: int, how: str = "inner") -> DataFrame:
+def look_up(left: DataFrame, right: DataFrame, key: str, limit: int, how: str = "inner") -> DataFrame:
     """left joined with right, which holds a key once: rows of a key that more than limit rows of left hold stay where they are.
 
     Counts are combined map-side; a key over the limit holds more than one row in BROADCAST_ROWS of the table, so such keys
@@ -26,7 +26,7 @@ def _stars(parent: DataFrame, limit: int) -> DataFrame:
     """Point every node at the end of its chain of parents; each step halves the chains."""
     while True:
         up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("far"))
-        far = _look_up(parent, up, "parent", limit)
+        far = look_up(parent, up, "parent", limit)
         step = materialize(far.select("node", F.col("far").alias("parent"), (F.col("far") != F.col("parent")).alias("moved")))
         parent = step.select("node", "parent")
         if step.filter("moved").isEmpty():
@@ -51,9 +51,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
         parent = _stars(materialize(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("parent"))), limit)
         up = parent.select(F.col("node").alias("root"), "parent")
-        labels = materialize(_look_up(labels, up, "root", limit, "left").select("node", F.coalesce("parent", "root").alias("root")))
+        labels = materialize(look_up(labels, up, "root", limit, "left").select("node", F.coalesce("parent", "root").alias("root")))
         left = parent.select(F.col("node").alias("a"), F.col("parent").alias("ra"))
         right = parent.select(F.col("node").alias("b"), F.col("parent").alias("rb"))
-        met = _look_up(_look_up(edges, left, "a", limit), right, "b", limit).filter("ra <> rb")
+        met = look_up(look_up(edges, left, "a", limit), right, "b", limit).filter("ra <> rb")
         edges = materialize(met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
     return labels

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bound_batches, bounded_broadcast, free_name, materialize, skew_join, text_or_empty
-from millrace.llm.components import components
+from millrace.llm.components import components, look_up
 
 WIDTH, SEED, DISTANCE = 5, 42, 4
 #: Offset and width of each segment.
@@ -119,8 +119,8 @@ WIDE, SIMILAR, RECALL = 1024, 0.8, 0.98
 MOVED = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
 WORD_DISTANCE, WIDE_DISTANCE = (math.ceil(n * MOVED + 5 * math.sqrt(n * MOVED * (1 - MOVED))) for n in (64, WIDE))
 #: Bits of the parity sketch, the part of two sets' sizes that pairs of the least similarity differ in at most, and the most
-#: fingerprints with sketches that are broadcast (120 MB).
-PARITY, DIFFERENT, WIDE_ROWS = 2048, (1 - SIMILAR) / (1 + SIMILAR), 300_000
+#: fingerprints with sketches that are broadcast (42 MB).
+PARITY, DIFFERENT, WIDE_ROWS = 2048, (1 - SIMILAR) / (1 + SIMILAR), 100_000
 
 
 def _normal(text: str) -> list[bytes]:
@@ -248,14 +248,19 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     key = Window.partitionBy("key")
     star = shared.withColumn("least", F.min(F.struct("node", "f0")).over(key)).select(F.col("node").alias("a"), F.col("least.node").alias("b"), "f0", F.col("least.f0").alias("g0"))
     star = star.filter("a <> b").filter(bits("f0", "g0") <= WORD_DISTANCE).select("a", "b").distinct()
-    star = star.join(whole("a", "wa"), "a").join(whole("b", "wb"), "b").filter(near)
+    star = materialize(star)
+    # a node can be the least of many buckets, of thousands of members each
+    with_b = star.join(whole("b", "wb"), "b") if known <= WIDE_ROWS else look_up(star, whole("b", "wb"), "b", max(1_000, star.count() // WIDE_ROWS))
+    star = with_b.join(whole("a", "wa"), "a").filter(near)
     links = verified(star.select("a", "b"), docs, width)
     found = components(links)
     rooted = shared.join(bounded_broadcast(found, found.count()), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = rooted.repartition(F.col("key"))  # for both windows and the join
+    # the least node goes first, so buckets of two, which are most of those that chance fills, carry no fingerprint any further
+    rooted = rooted.withColumn("least", F.min("node").over(key)).filter("node <> least")
+    rooted = rooted.withColumns({"low": F.min("root").over(key), "high": F.max("root").over(key)}).filter("low <> high")
     rooted = rooted.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key", "root"))).withColumn("most", F.max(F.struct("m", "root")).over(key)["root"])
-    rooted = rooted.withColumns({"low": F.min("root").over(key), "high": F.max("root").over(key), "least": F.min("node").over(key)})
-    rooted = rooted.filter("low <> high and node <> least").select("key", "node", "f0", "root", (F.col("root") != F.col("most")).alias("minor"))
+    rooted = rooted.select("key", "node", "f0", "root", (F.col("root") != F.col("most")).alias("minor"))
     x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra")).join(whole("a", "wa"), "a")
     met = x.join(
         rooted.join(whole("node", "wb"), "node"),

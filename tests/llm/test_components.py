@@ -40,9 +40,9 @@ def test_a_key_over_the_limit_is_not_shuffled(spark):
     left = spark.createDataFrame([(7, k) for k in range(60)] + [(k, k) for k in range(100, 140)] + [(8, 1)], "key long, v long")
     right = spark.createDataFrame([(7, "hub")] + [(k, "one") for k in range(100, 130)], "key long, name string")
     for how in ("inner", "left"):
-        got, want = C._look_up(left, right, "key", 50, how), left.join(right, "key", how)
+        got, want = C.look_up(left, right, "key", 50, how), left.join(right, "key", how)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-    hot = C._look_up(left, right, "key", 50)._jdf.queryExecution().optimizedPlan().toString()
+    hot = C.look_up(left, right, "key", 50)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in hot and "LeftAnti" in hot
 
 
