@@ -1,17 +1,19 @@
 """Personal data: pattern spans, and information-theoretic sanitisation of the terms around them.
 
-Every match of a base pattern is a protected entity (its kind and value). All counts are of different texts, so copies of a
+Every match of a base pattern is a protected entity (its kind and value), and so are the classes it belongs to: its family (the
+domain of an address, the network, the issuer or area of a number) and its kind. All counts are of different texts, so copies of a
 text change none of them: a term t (a whole word of the text that touches no base span) and an entity e that share c of N
 texts, t in df(t) and e in df(e) of them, have pointwise mutual information log2(c N / (df(t) df(e))); over the information
 of e, log2(N / df(e)), that is how much of e the term gives away. The texts must hold e in at least `support` different
 contexts (the `window` words around it), so near-copies of one document prove nothing. A term over the threshold that leaves
 no more than half a bit, log2(df(t) / c), unknown (else it mostly stands in texts without the entity) is
-sanitised wherever it stands, in every text: generalised to its first letters where those surely give away less than the
-threshold by their least count, that in texts with entities, removed otherwise.
+sanitised wherever it stands, in every text: generalised to its first letters where those, counted like a term, pass no
+threshold, removed otherwise.
 
-Texts that hold an entity of enough contexts are few; the corpus is counted map-side for the terms that passed `support`
-alone, each text divided by its copies. Only terms over the threshold go back to the texts: as a broadcast where they are
-checked to be few, else by a join on a digest of the text.
+Texts that hold an entity of enough contexts are counted first; a term meets an entity there only if the least and the most
+texts that the two could share let it pass, so a text never yields all its entities by all its terms. The corpus is counted
+map-side for the terms that passed that far, each text divided by its copies. Only terms over the threshold go back to the
+texts: as a broadcast where they are checked to be few, else by a join on a digest of the text.
 
 Defined results: a null text counts as empty and has no spans. Repeated rows get equal spans. Base spans all
 stay, also where they overlap each other; a word that touches one is no term. Positions are code points.
@@ -27,12 +29,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BROADCAST_ROWS, bound_batches, bounded_broadcast, free_name, materialize, text_or_empty
+from millrace.llm.common import BROADCAST_ROWS, bound_batches, bounded_broadcast, free_name, materialize, skew_join, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
 WINDOW, SUPPORT, THRESHOLD, STEM, LEAST = 5, 3, 0.75, 4, 3
-#: Bits about the entity that a disclosing term leaves unknown at most: it comes with the entity in seven of ten texts or more.
+#: Digits of a card or phone number that name its family.
+FAMILY = 6
+#: Bits about the entity that a disclosing term leaves unknown at most (None: any): it comes with the entity in seven of ten texts or more.
 LEFT = 0.5
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -87,6 +91,14 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(_DIGIT.findall(value))}"
 
 
+def classes(kind: str, value: str) -> list[str]:
+    """The entity, the family it belongs to (the domain, network, issuer or area), and its kind: all are protected."""
+    key = entity(kind, value)
+    own = key.partition(":")[2]
+    family = own.partition("@")[2] if kind == "email" else ".".join(own.split(".")[:2]) if kind == "ip" else own[:FAMILY]
+    return [key, f"{kind} of {family}", f"any {kind}"]
+
+
 def term_of(word: str) -> str:
     """A word without marks at its ends, in lower case; empty if it is too short to be a term."""
     term = word.strip(_MARKS)
@@ -115,11 +127,16 @@ def free_words(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
     return out
 
 
-def words_among(text: str, wanted: frozenset[str] | dict[str, str]) -> set[str]:
+def words_among(text: str, wanted: dict[str, str]) -> set[str]:
     """The wanted terms among the words of a text, those that touch a base span included."""
     return {t for t in map(term_of, set(_WORD.findall(text))) if t in wanted}
 
 
+def among(text: str, wanted: frozenset[str]) -> set[str]:
+    """The wanted terms and stems among the words of a text, those that touch a base span included."""
+    return {x for t in set(map(term_of, set(_WORD.findall(text)))) for x in (t, stem_of(t)) if x in wanted}
+
+
 def terms_of(text: str) -> set[str]:
     """The different terms of a text and their stems."""
     terms = {t for t, _, _ in free_words(text, base_spans(text))}
@@ -127,7 +144,7 @@ def terms_of(text: str) -> set[str]:
 
 
 def contexts(text: str, window: int = WINDOW) -> dict[str, str]:
-    """entity -> the terms around its base spans in the text."""
+    """entity, family or kind -> the terms around its base spans in the text."""
     spans = base_spans(text)
     if not spans:
         return {}
@@ -137,7 +154,8 @@ def contexts(text: str, window: int = WINDOW) -> dict[str, str]:
     for kind, start, end in spans:
         at, until = bisect_left(starts, start), bisect_left(starts, end)
         near = [t for t, _, _ in free[max(0, at - window) : until + window]]
-        out.setdefault(entity(kind, text[start:end]), []).append(" ".join(near))
+        for name in classes(kind, text[start:end]):
+            out.setdefault(name, []).append(" ".join(near))
     return {e: "\n".join(sorted(set(near))) for e, near in out.items()}
 
 
@@ -151,8 +169,20 @@ def all_spans(text: str, flagged: dict[str, str] | None) -> list[tuple[str, int,
     return sorted([*spans, *more], key=lambda x: (x[1], order.index(x[0]), x[2]))
 
 
-def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
-    """(entity, term, action, disclosed) for the terms that give away too much of an entity, over the whole corpus."""
+def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD, left: float | None = LEFT) -> DataFrame:
+    """(entity, term, action, disclosed) for the terms that give away too much of an entity or class, over the whole corpus."""
+    got, members = disclosed_groups(docs, text_col, support, threshold, left)
+    if members is None:
+        return got.select(F.col("group").alias("entity"), "term", "action", "disclosed")
+    return got.join(members, "group").select("entity", "term", "action", "disclosed")
+
+
+def disclosed_groups(docs: DataFrame, text_col: str, support: int, threshold: float, left: float | None) -> tuple[DataFrame, DataFrame | None]:
+    """(group, term, action, disclosed), and (group, entity): entities of the same texts in equal contexts are one group.
+
+    All counts of such entities are equal, so a directory of ten thousand addresses that is printed in many texts is one
+    group, not ten thousand. Nothing is held where no entity has enough contexts (then there are no members).
+    """
     bound_batches(docs.sparkSession)
     texts = docs.select(text_or_empty(text_col).alias("text")).withColumn("digest", F.md5("text"))
     copies = materialize(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")))
@@ -166,46 +196,56 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
 
     met = texts.mapInPandas(held, "digest string, entity string, around string")
     met = materialize(met.select("digest", "entity", F.xxhash64("around").alias("context")).distinct())
-    known = met.groupBy("entity").agg(F.count(F.lit(1)).alias("e"), F.count_distinct("context").alias("contexts")).filter(F.col("contexts") >= support)
-    known = materialize(known.select("entity", "e"))
-    empty = docs.sparkSession.createDataFrame([], "entity string, term string, action string, disclosed double")
+    known = met.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("context").alias("contexts")).filter(F.col("contexts") >= support)
+    known = materialize(known.select("entity", "n"))
+    empty = docs.sparkSession.createDataFrame([], "group string, term string, action string, disclosed double")
     if known.isEmpty():
-        return empty
-    per_text = met.join(known, "entity").groupBy("digest").agg(F.collect_list(F.struct("entity", "context")).alias("held"))
-    per_text = materialize(per_text)
-    with_held = texts.join(bounded_broadcast(per_text, per_text.count()), "digest").dropDuplicates(["digest"])
-
-    def share(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return empty, None
+    met = skew_join(met, known.withColumn("e", F.col("n")), "entity", met.count())
+    # the sets of texts by context tell which entities have all counts alike: two hashes of 64 bits that no order changes
+    sets = met.groupBy("entity", "context", "e").agg(F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("y"))
+    sets = sets.groupBy("entity", "e").agg(F.bit_xor(F.xxhash64("x", "y")).alias("x"), F.bit_xor(F.xxhash64("y", "x", F.lit(1))).alias("y"))
+    sets = materialize(sets.select("entity", "e", F.concat_ws(":", "x", "y").alias("alike")))
+    groups = sets.groupBy("alike").agg(F.min("entity").alias("group"), F.count(F.lit(1)).alias("n"))
+    members = materialize(skew_join(sets, groups, "alike", sets.count()).select("group", "entity", "e"))
+    known = members.filter(F.col("group") == F.col("entity")).select("entity", "e")  # one entity stands for its group
+    most = materialize(known.agg(F.max("e").alias("most")))  # one row
+    per_text = met.join(bounded_broadcast(known.select("entity"), known.count()), "entity", "left_semi")
+    per_text = materialize(per_text.groupBy("digest").agg(F.collect_list(F.struct("entity", "context", "e")).alias("held")))
+    rows = per_text.count()
+    with_held = texts.join(bounded_broadcast(per_text.select("digest"), rows), "digest", "left_semi").dropDuplicates(["digest"])
+
+    def list_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text, entities in zip(batch["text"], batch["held"], strict=True):
-                terms = list(terms_of(text))
-                # each text once more without an entity: the texts of a term among these, no more than its df
-                for one in [*entities, {"entity": "", "context": 0}]:
-                    for k in range(0, len(terms), 10_000):
-                        part = terms[k : k + 10_000]
-                        yield pd.DataFrame({"entity": one["entity"], "context": one["context"], "term": part})
-
-    pairs = with_held.mapInPandas(share, "entity string, context long, term string")
-    pairs = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("c"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("contexts"))
-    pairs = materialize(pairs.filter((F.col("entity") == "") | (F.col("contexts") >= support)).select("entity", "term", "c"))
-    seen_in = pairs.filter("entity = ''").select("term", F.col("c").alias("least_df"))
-    pairs = pairs.filter("entity <> ''")
+            yield pd.DataFrame({"digest": batch["digest"], "terms": pd.Series([list(terms_of(t)) for t in batch["text"]], dtype=object, index=batch.index)})
+
+    words = with_held.mapInPandas(list_terms, "digest string, terms array<string>").select("digest", F.explode("terms").alias("term"))
     information = F.greatest(F.log2(F.col("n") / F.col("e")), F.lit(1e-9))
-    tells = lambda c, d: (gives(c, d) >= threshold - 1e-9) & (F.log2(F.col(d) / F.col(c)) <= LEFT + 1e-9)
     gives = lambda c, d: F.log2(F.col(c) * F.col("n") / (F.col(d) * F.col("e"))) / information
-    # what a term gives away falls with its df: one below the threshold at the least df cannot pass
-    judged = pairs.join(known, "entity").join(seen_in, "term").crossJoin(F.broadcast(total))
-    is_stem = F.col("term").endswith("*")
-    possible_stems, possible = judged.filter(is_stem), judged.filter(~is_stem & tells("c", "least_df"))
-    # a stem tells at most what its least df says; where that is not enough, the stem is safe to keep
-    safe = possible_stems.select("entity", F.col("term").alias("stem"), (~tells("c", "least_df")).alias("safe"))
-    stems = F.concat(F.substring("term", 1, STEM), F.lit("*"))
-    strong = possible.select("entity", "term", "c").withColumn("stem", stems).join(safe, ["entity", "stem"])
-    strong = materialize(strong.select("entity", "term", "c", "safe"))
+    little = lambda c, d: F.lit(True) if left is None else F.log2(F.col(d) / F.col(c)) <= left + 1e-9
+    tells = lambda c, d: (gives(c, d) >= threshold - 1e-9) & little(c, d)
+    # a pair shares at least `support` texts and at most e: terms of fewer texts, or of more than e lets pass, meet no entity
+    seen_in = words.groupBy("term").agg(F.count(F.lit(1)).alias("least_df")).filter(F.col("least_df") >= support)
+    seen_in = seen_in.crossJoin(F.broadcast(most)).crossJoin(F.broadcast(total))  # one row each
+    seen_in = materialize(seen_in.withColumn("e", F.col("most")).filter(tells("e", "least_df")).select("term", "least_df"))
+    if seen_in.count() <= BROADCAST_ROWS:
+        met_by = words.join(F.broadcast(seen_in), "term")
+    else:
+        of_term = seen_in.withColumn("n", F.col("least_df"))
+        met_by = skew_join(words, of_term, "term", seen_in.agg(F.sum("least_df")).first()[0])
+    pairs = met_by.join(bounded_broadcast(per_text, rows), "digest").select("term", "least_df", F.inline("held")).crossJoin(F.broadcast(total))
+    pairs = pairs.filter(tells("e", "least_df")).groupBy("entity", "term", "least_df", "e", "context").agg(F.count(F.lit(1)).alias("c"))
+    pairs = pairs.groupBy("entity", "term", "least_df", "e").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("contexts"))
+    pairs = pairs.filter(F.col("contexts") >= support).crossJoin(F.broadcast(total))
+    # what a term or stem gives away falls with its df: one below the threshold at the least df cannot pass
+    pairs = materialize(pairs.filter(tells("c", "least_df")).select("entity", "term", "c", "e"))
+    is_stem, stems = F.col("term").endswith("*"), F.concat(F.substring("term", 1, STEM), F.lit("*"))
+    open_stems = pairs.filter(is_stem).select("entity", F.col("term").alias("stem"), F.col("c").alias("stem_c"))
+    strong = pairs.filter(~is_stem).withColumn("stem", stems).join(open_stems, ["entity", "stem"], "left")
+    strong = materialize(strong.select("entity", "term", "c", "e", F.when(F.col("stem_c").isNotNull(), F.col("stem")).alias("stem"), "stem_c"))
     if strong.isEmpty():
-        return empty
-    wanted = materialize(strong.select("term").distinct())
+        return empty, None
+    wanted = materialize(strong.select(F.explode(F.array("term", "stem")).alias("term")).filter("term is not null").distinct())
     few = wanted.count() <= BROADCAST_ROWS
     listed = docs.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in wanted.toLocalIterator()) if few else None)
 
@@ -219,7 +259,7 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
 
         for batch in batches:
             for text, n in zip(batch["text"], batch["copies"], strict=True):
-                terms = {t for t in terms_of(text) if not t.endswith("*")} if listed.value is None else words_among(text, listed.value)
+                terms = terms_of(text) if listed.value is None else among(text, listed.value)
                 if terms and base_spans(text):  # words that touch a span are no terms
                     terms &= terms_of(text)
                 for t in terms:
@@ -232,9 +272,10 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     # all copies of a text hold the term, so their parts add up to whole texts
     df = counted.mapInPandas(count, "term string, texts double").groupBy("term").agg(F.round(F.sum("texts")).cast("long").alias("df"))
     df = materialize(df.join(wanted, "term", "left_semi"))
-    got = strong.join(known, "entity").join(df, "term").crossJoin(F.broadcast(total))  # one row
-    got = got.withColumn("disclosed", gives("c", "df")).filter(tells("c", "df"))
-    return got.select("entity", "term", F.when(F.col("safe"), "generalise").otherwise("remove").alias("action"), "disclosed")
+    got = strong.join(df, "term").crossJoin(F.broadcast(total)).filter(tells("c", "df"))  # one row
+    got = got.join(df.select(F.col("term").alias("stem"), F.col("df").alias("stem_df")), "stem", "left").withColumn("disclosed", gives("c", "df"))
+    action = F.when(F.col("stem_c").isNotNull() & tells("stem_c", "stem_df"), "remove").otherwise("generalise").alias("action")
+    return got.select(F.col("entity").alias("group"), "term", action, "disclosed"), members.select("group", "entity")
 
 
 def _spans_column(text: Column, flagged: object) -> Column:
@@ -246,10 +287,10 @@ def _spans_column(text: Column, flagged: object) -> Column:
     return of(text)
 
 
-def detect(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> DataFrame:
+def detect(docs: DataFrame, text_col: str = "text", out_col: str = "spans", threshold: float = THRESHOLD, left: float | None = LEFT) -> DataFrame:
     """docs with the array of spans (kind, start, end): base kinds, and generalise or remove for disclosing terms."""
     spark, text = docs.sparkSession, text_or_empty(text_col)
-    found = disclosing(docs, text_col).groupBy("term").agg(F.max("action").alias("action"))  # remove before generalise
+    found = disclosed_groups(docs, text_col, SUPPORT, threshold, left)[0].groupBy("term").agg(F.max("action").alias("action"))  # remove before generalise
     found = materialize(found)
     if found.count() <= BROADCAST_ROWS:
         flagged = {row["term"]: row["action"] for row in found.toLocalIterator()}
@@ -302,10 +343,10 @@ def redact(text: str, spans: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, left: float | None = LEFT) -> DataFrame:
     """docs with their texts redacted, all columns kept; a null text stays null."""
     spans = free_name(docs, "_spans")
-    out = detect(docs, text_col, spans)
+    out = detect(docs, text_col, spans, threshold, left)
 
     @F.pandas_udf("string")
     def of(texts: pd.Series, found: pd.Series) -> pd.Series:
