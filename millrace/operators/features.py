@@ -109,12 +109,12 @@ def sliced_effective_time(df: DataFrame, key: str = KEY, arrivals: int = ARRIVAL
     return out.withColumn("eff", F.greatest(F.max("ts_ms").over(within), "_newest")).drop("_arrivals", "_newest")
 
 
-def sliced_features(df: DataFrame, settings: Settings = LIVE, key: str = KEY, widths: int = SLICE_WIDTHS, arrivals: int = ARRIVALS) -> DataFrame:
+def sliced_features(df: DataFrame, settings: Settings = LIVE, key: str = KEY, widths: int = SLICE_WIDTHS, arrivals: int = ARRIVALS, tasks: int | None = None) -> DataFrame:
     """rolling_features(), for keys of any size: a key's timeline is cut into slices, each a task of its own.
 
     Effective time never falls in order of arrival, so a slice of it, `widths` long windows wide, is a run of arrivals. What
     a window of its first events can reach lies in the last window width of the slice before; those events go along as
-    history, so they are sent twice, one in `widths` of all.
+    history, so they are sent twice, one in `widths` of all. tasks: how many share the slices; None: Spark's choice.
     """
     if widths < 1:
         raise ValueError("a slice must hold a long window")
@@ -125,6 +125,7 @@ def sliced_features(df: DataFrame, settings: Settings = LIVE, key: str = KEY, wi
     reached = F.col("eff") >= (here + 1) * width - max(settings.long_ms, settings.short_ms)
     places = F.when(reached, F.array(place(0, True), place(1, False))).otherwise(F.array(place(0, True)))
     dealt = out.select("*", F.inline(places))
+    dealt = dealt if tasks is None else dealt.repartition(tasks, key, "_slice")
     return rolling_features(dealt, settings, [key, "_slice"]).filter("_own").drop("_slice", "_own")
 
 

@@ -14,7 +14,7 @@ from millrace.operators.features import rolling_features
 from millrace.operators.rules import score_events
 from millrace.settings import SPARSE
 from millrace.sources.tables import sized_files, write_events
-from millrace.workspace import derived, spread
+from millrace.workspace import ROWS_A_TASK, derived, small_methods, spread, tasks_for
 
 MESSAGES = ["internal compiler error: in expand", "Killed", "write failed: No space left on device", "checksum mismatch for entry", "expected ';' before", "undefined reference to main", "AssertionError: 1 != 2", "test timed out"]
 
@@ -30,6 +30,7 @@ def uuid_of(number: Column) -> Column:
 
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table with k, a timestamp with zone, and epoch milliseconds."""
+    small_methods(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return events.select(
         F.col("event_id").alias("number"), F.col("ts").cast("timestamp").alias("at"), "user_id", F.col("event_type").alias("kind"), "value",
@@ -39,6 +40,7 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw build events as a topic keeps them: made from the table once, then read by every query."""
+    small_methods(spark)
     return derived(spark, f"{sf_dir}/events.parquet", "topic", lambda path: producer(spark, sf_dir).write.parquet(path))
 
 
@@ -92,8 +94,13 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_events(raw_events(spark, sf_dir), SPARSE)
 
 
+def tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for a shuffle of whole events, by the topic's rows (a count from its footers)."""
+    return tasks_for(spark, raw_events(spark, sf_dir).count())
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolling_features(clean(spark, sf_dir), SPARSE)
+    return rolling_features(clean(spark, sf_dir).repartition(tasks(spark, sf_dir), "runner_ip"), SPARSE)
 
 
 def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +112,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decisions as the job stores them, in the event table's layout; rollups, checks and investigations read this."""
 
     def write(path: str) -> None:
-        files = sized_files(source(spark, sf_dir).select(F.col("at_ms").alias("ts_ms")))
-        write_events(decided(spark, sf_dir), path, files, mode="errorifexists")
+        files = sized_files(source(spark, sf_dir).select(F.col("at_ms").alias("ts_ms")), ROWS_A_TASK)
+        # twice the tasks, so that few of them get more than one file
+        write_events(decided(spark, sf_dir), path, files, mode="errorifexists", tasks=2 * tasks(spark, sf_dir))
 
     return derived(spark, f"{sf_dir}/events.parquet", "decisions", write)
 

@@ -22,13 +22,14 @@ def with_layout(df: DataFrame) -> DataFrame:
     return df.withColumns({"bucket": bucket(F.col("ts_ms")), "event_date": F.to_date(F.timestamp_millis("ts_ms"))})
 
 
-def write_events(df: DataFrame, path: str, files_a_day: int = 8, mode: str = "append") -> None:
+def write_events(df: DataFrame, path: str, files_a_day: int = 8, mode: str = "append", tasks: int | None = None) -> None:
     """Days as partitions, rows sorted by (bucket, runner, time, id) within files, a bloom filter on the id.
 
-    Rows of a day are dealt to a few files by runner, so a day is no single task.
+    Rows of a day are dealt to a few files by runner, so a day is no single task. tasks: how many write; None: Spark's choice.
     """
     out = with_layout(df)
-    out = out.repartition("event_date", F.pmod(F.xxhash64("runner_ip"), F.lit(files_a_day))).sortWithinPartitions("event_date", *EVENT_KEY)
+    by = ["event_date", F.pmod(F.xxhash64("runner_ip"), F.lit(files_a_day))]
+    out = out.repartition(*by if tasks is None else [tasks, *by]).sortWithinPartitions("event_date", *EVENT_KEY)
     writer = out.write.mode(mode).partitionBy("event_date").option("parquet.bloom.filter.enabled#event_id", "true")
     writer.parquet(path)
 
@@ -72,10 +73,10 @@ def files_a_day(rows: int, days: int, rows_a_file: int = 1_000_000) -> int:
     return max(1, -(-rows // (max(days, 1) * rows_a_file)))
 
 
-def sized_files(stored: DataFrame) -> int:
+def sized_files(stored: DataFrame, rows_a_file: int = 1_000_000) -> int:
     """files_a_day() of a stored table, from one pass over its times."""
     seen = stored.agg(F.count(F.lit(1)).alias("n"), F.min("ts_ms").alias("a"), F.max("ts_ms").alias("b")).first()
-    return files_a_day(seen["n"], 1 + ((seen["b"] or 0) - (seen["a"] or 0)) // 86_400_000)
+    return files_a_day(seen["n"], 1 + ((seen["b"] or 0) - (seen["a"] or 0)) // 86_400_000, rows_a_file)
 
 
 def relayout(spark: SparkSession, source: str, target: str, columns: list[str]) -> tuple[int, int]:

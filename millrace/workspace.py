@@ -35,6 +35,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+#: Rows of an event table that one task sorts at a time: some 200 MB of whole rows.
+ROWS_A_TASK = 100_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_a_task: int = ROWS_A_TASK) -> int:
+    """How many tasks share so many rows, one a core at least: what a task holds doesn't grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_a_task))
+
+
+def small_methods(spark: SparkSession) -> None:
+    """Generated methods too large for the JVM to compile are left out for smaller ones.
+
+    HotSpot interprets methods of more than 8,000 bytes for ever; one stage over all columns of an event makes such methods.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 _DERIVED: dict[tuple, str] = {}
 
 
