@@ -3,8 +3,8 @@
 delayed_lookups() joins streams: an event of the truth waits for its decision, and for its refusal, until so long after it
 was appended. Watermarks on all sides bound the state; what neither came for is missing, told once, after the wait.
 
-IncidentProcessor keeps one state a runner: events that may still be overtaken, each scenario's running incident, and the
-newest incident event. Events are taken in order of their time once the watermark has passed them, so the result does not
+IncidentProcessor keeps one state a runner, read once and written once a visit: events that may still be overtaken, each
+scenario's running incident, the newest incident event, and the next timer. It works on rows, as most visits have few. Events are taken in order of their time once the watermark has passed them, so the result does not
 depend on the order of arrival. An incident ends when the watermark is past its last event by more than the gap.
 """
 
@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -39,10 +38,11 @@ def delayed_lookups(truth: DataFrame, decisions: DataFrame, rejects: DataFrame,
     return told.join(r, (F.col("partition") == F.col("_p")) & (F.col("offset") == F.col("_o")) & within("rejected_at"), "leftOuter").drop("_p", "_o", "rejected_at")
 
 
-PENDING = "ts long, event_id string, scenario string, action string"
-RUN = "start long, last long, events long, flagged long, first_flag long, known boolean"
+PENDING = "ts: long, event_id: string, scenario: string, action: string"
+RUN = "scenario: string, start: long, last: long, events: long, flagged: long, first_flag: long, known: boolean"
+STATE = f"pending array<struct<{PENDING}>>, runs array<struct<{RUN}>>, hit long, wake long"
 OUTCOME = "kind string, runner_ip string, scenario string, event_id string, start_ms long, end_ms long, events long, flagged long, first_flag_ms long, known_source boolean, affected boolean"
-_COLUMNS = [c.split(" ")[0] for c in OUTCOME.split(", ")]
+_ROW = Row(*[c.split(" ")[0] for c in OUTCOME.split(", ")])
 
 
 class IncidentProcessor(StatefulProcessor):
@@ -51,27 +51,24 @@ class IncidentProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING)
-        self.runs = handle.getMapState("runs", "scenario string", RUN)
-        self.hit = handle.getValueState("hit", "ts long")
+        self.state = handle.getValueState("runner", STATE)
 
-    def _close(self, runner: str, scenario: str, run: tuple) -> list:
+    def _close(self, runner: str, scenario: str, run: tuple) -> Row:
         start, last, events, flagged, first, known = run
-        return ["incident", runner, scenario, None, start, last, events, flagged, first, known, None]
+        return _ROW("incident", runner, scenario, None, start, last, events, flagged, first, known, None)
 
-    def _advance(self, runner: str, new: list[tuple], watermark: int) -> list[list]:
+    def _advance(self, runner: str, new: list[tuple], watermark: int) -> Iterator[Row]:
         """Take all events up to the watermark in order, end what is quiet, keep the rest and wake up for it."""
-        held = new + (list(self.pending.get()) if self.pending.exists() else [])
-        held = sorted(map(tuple, held), key=lambda e: (e[0], e[2] == "normal", e[1]))  # an incident's event comes before normal ones of its time
+        pending, running, hit, timer = self.state.get() or ([], [], None, None)
+        held = sorted(new + list(map(tuple, pending)), key=lambda e: (e[0], e[2] == "normal", e[1]))  # an incident's event comes before normal ones of its time
         ready, later = [e for e in held if e[0] <= watermark], [e for e in held if e[0] > watermark]
-        hit, out, gap = (self.hit.get()[0] if self.hit.exists() else None), [], self.settings.incident_gap_ms
-        runs = {k[0]: tuple(v) for k, v in self.runs.iterator()}
-        before = dict(runs)
+        out, gap = [], self.settings.incident_gap_ms
+        runs = {k[0]: tuple(k)[1:] for k in running}
         for ts, event, scenario, action in ready:
             if scenario == "normal":
                 if action == "quarantine":
                     affected = hit is not None and ts - hit <= self.settings.containment_ms
-                    out.append(["quarantine", runner, scenario, event, ts, ts, 1, 1, ts, None, affected])
+                    out.append(_ROW("quarantine", runner, scenario, event, ts, ts, 1, 1, ts, None, affected))
                 continue
             run = runs.get(scenario)
             if run is not None and ts - run[1] > gap:
@@ -86,33 +83,28 @@ class IncidentProcessor(StatefulProcessor):
             if watermark - run[1] > gap:
                 out.append(self._close(runner, scenario, run))
                 del runs[scenario]
-        # only what changed is written
-        for scenario in before.keys() - runs.keys():
-            self.runs.removeKey((scenario,))
-        for scenario, run in runs.items():
-            if before.get(scenario) != run:
-                self.runs.updateValue((scenario,), run)
-        if hit is not None:
-            self.hit.update((hit,)) if watermark - hit <= self.settings.containment_ms or runs or later else self.hit.clear()
-        if ready or new:
-            self.pending.put(later) if later else self.pending.clear()
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-        wake = [e[0] for e in later] + [run[1] + gap + 1 for run in runs.values()] + ([hit + self.settings.containment_ms + 1] if hit is not None and not runs and not later else [])
-        if wake and min(wake) > watermark:
-            self.handle.registerTimer(min(wake))
-        return out
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(t), e, s, a) for part in rows for t, e, s, a in zip(part["ts_ms"], part["event_id"], part["scenario"], part["action"], strict=True)]
-        out = self._advance(key[0], new, timerValues.getCurrentWatermarkInMs())
-        if out:
-            yield pd.DataFrame(out, columns=_COLUMNS)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = self._advance(key[0], [], timerValues.getCurrentWatermarkInMs())
-        if out:
-            yield pd.DataFrame(out, columns=_COLUMNS)
+        if hit is not None and not (watermark - hit <= self.settings.containment_ms or runs or later):
+            hit = None
+        ends = [run[1] + gap + 1 for run in runs.values()] + ([hit + self.settings.containment_ms + 1] if hit is not None and not runs and not later else [])
+        wake = min([e[0] for e in later[:1]] + ends, default=None)
+        if wake is not None and wake <= watermark:
+            wake = None
+        if timer is not None and timer != wake and timer > watermark:
+            self.handle.deleteTimer(timer)  # one that is due has gone off
+        if wake is not None and wake != timer:
+            self.handle.registerTimer(wake)
+        if later or runs or hit is not None:
+            self.state.update((later, [(scenario, *run) for scenario, run in runs.items()], hit, wake))
+        else:
+            self.state.clear()
+        return iter(out)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new = [(r["ts_ms"], r["event_id"], r["scenario"], r["action"]) for r in rows]
+        return self._advance(key[0], new, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return self._advance(key[0], [], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -125,5 +117,8 @@ def tally(decided: DataFrame, settings: Settings = LIVE, late: str = "10 minutes
     within the containment time. Needs the RocksDB state store.
     """
     timed = decided.withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", late)
+    # other normal events change nothing, so no state is visited for them; they do move the watermark: a filter on its own
+    # column is not pushed below it
+    timed = timed.filter("scenario <> 'normal' or action = 'quarantine' or at is null")
     keyed = timed.select("runner_ip", "event_id", "scenario", "action", "ts_ms", "at").groupBy("runner_ip")
-    return keyed.transformWithStateInPandas(IncidentProcessor(settings), outputStructType=OUTCOME, outputMode="Append", timeMode="EventTime")
+    return keyed.transformWithState(IncidentProcessor(settings), outputStructType=OUTCOME, outputMode="Append", timeMode="EventTime")
