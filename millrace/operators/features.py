@@ -70,15 +70,21 @@ def distincts() -> dict[str, Column]:
 
 
 def rolling_features(df: DataFrame, settings: Settings = LIVE, key: str | list[str] = KEY) -> DataFrame:
-    """Cleaned events with the rolling features of their runner (or of another key)."""
-    out = df if "eff" in df.columns else with_effective_time(df, key)
-    width = {"short": settings.short_ms, "long": settings.long_ms}
-    so_far = arrival(key).rowsBetween(Window.unboundedPreceding, 0)
-    by_time = Window.partitionBy(*_keys(key)).orderBy("eff")
-    gone = {w: by_time.rangeBetween(Window.unboundedPreceding, -ms - 1) for w, ms in width.items()}
-    for name, value in distincts().items():
-        v, mark = f"_v_{name}", Window.partitionBy(*_keys(key), f"_v_{name}").orderBy(ORDER)
-        out = out.withColumn(v, value)
+    """Cleaned events with the rolling features of their runner (or of another key).
+
+    The windows carry what they need and one struct of all other columns, so a sort or window copies a few fields a row,
+    however wide the event is.
+    """
+    keys, values, width = _keys(key), measures(), {"short": settings.short_ms, "long": settings.long_ms}
+    columns = [*df.columns, *([] if "eff" in df.columns else ["eff"])]
+    plain = [*keys, ORDER, "eff" if "eff" in df.columns else "ts_ms"]
+    packed = [c for c in df.columns if c not in plain]
+    out = df.select(
+        *plain, *[v.alias(f"_v_{name}") for name, v in distincts().items()], F.struct(*[v.alias(name) for name, (_, v) in values.items()]).alias("_m"), F.struct(*packed).alias("_row")
+    )
+    out = out if "eff" in df.columns else with_effective_time(out, key)
+    for name in distincts():
+        v, mark = f"_v_{name}", Window.partitionBy(*keys, f"_v_{name}").orderBy(ORDER)
         before, after = F.lag("eff").over(mark), F.lead("eff").over(mark)
         known = F.col(v).isNotNull()
         out = out.withColumns(
@@ -87,15 +93,17 @@ def rolling_features(df: DataFrame, settings: Settings = LIVE, key: str | list[s
                 f"_last_{name}": _is(known & (after.isNull() | (after - F.col("eff") > width["long"]))),
             }
         ).drop(v)
-    values = measures()
-    out = out.withColumns({f"_m_{name}": value for name, (_, value) in values.items()})
+    # effective time never falls in order of arrival, so one sort serves both frames
+    so_far = Window.partitionBy(*keys).orderBy("eff", ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    by_time = Window.partitionBy(*keys).orderBy("eff")
+    gone = {w: by_time.rangeBetween(Window.unboundedPreceding, -ms - 1) for w, ms in width.items()}
     nothing = F.lit(0).cast("long")
-    result = {name: F.sum(f"_m_{name}").over(so_far) - F.coalesce(F.sum(f"_m_{name}").over(gone[w]), nothing) for name, (w, _) in values.items()}
-    result |= {
-        name: F.sum(f"_new_{name}").over(so_far) - F.coalesce(F.sum(f"_last_{name}").over(gone["long"]), nothing) for name in distincts()
-    }
+    out = out.withColumns({f"_so_{name}": F.sum(f"_m.{name}").over(so_far) for name in values} | {f"_so_{name}": F.sum(f"_new_{name}").over(so_far) for name in distincts()})
+    result = {name: F.col(f"_so_{name}") - F.coalesce(F.sum(f"_m.{name}").over(gone[w]), nothing) for name, (w, _) in values.items()}
+    result |= {name: F.col(f"_so_{name}") - F.coalesce(F.sum(f"_last_{name}").over(gone["long"]), nothing) for name in distincts()}
     out = out.withColumns(result).withColumn("build_frequency", F.col("finished_5m") / 5.0)
-    return out.drop("finished_5m", *[f"_m_{n}" for n in values], *[f"_{k}_{n}" for k in ("new", "last") for n in distincts()])
+    told = [c for c in [*result, "build_frequency"] if c != "finished_5m"]
+    return out.select(*[F.col(f"_row.{c}") if c in packed else F.col(c) for c in columns], *told)
 
 
 def sliced_effective_time(df: DataFrame, key: str = KEY, arrivals: int = ARRIVALS) -> DataFrame:
