@@ -284,6 +284,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "
                 ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), ids], [*part.schema.names, "n_tokens", "ids"])
+        pa.default_memory_pool().release_unused()  # the process stays for later tasks
 
     return docs.mapInArrow(of, schema)
 

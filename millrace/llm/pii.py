@@ -287,14 +287,24 @@ def _spans_column(text: Column, flagged: object) -> Column:
     return of(text)
 
 
+def _flagged(docs: DataFrame, text_col: str, threshold: float, left: float | None) -> tuple[DataFrame, object | None]:
+    """(term, action) of the disclosing terms, and the same as a broadcast of term -> action where they are few."""
+    found = disclosed_groups(docs, text_col, SUPPORT, threshold, left)[0].groupBy("term").agg(F.max("action").alias("action"))  # remove before generalise
+    found = materialize(found)
+    if found.count() > BROADCAST_ROWS:
+        return found, None
+    return found, docs.sparkSession.sparkContext.broadcast({row["term"]: row["action"] for row in found.toLocalIterator()})
+
+
 def detect(docs: DataFrame, text_col: str = "text", out_col: str = "spans", threshold: float = THRESHOLD, left: float | None = LEFT) -> DataFrame:
     """docs with the array of spans (kind, start, end): base kinds, and generalise or remove for disclosing terms."""
+    found, listed = _flagged(docs, text_col, threshold, left)
+    return _joined_spans(docs, text_col, out_col, found) if listed is None else docs.withColumn(out_col, _spans_column(text_or_empty(text_col), listed))
+
+
+def _joined_spans(docs: DataFrame, text_col: str, out_col: str, found: DataFrame) -> DataFrame:
+    """docs with their spans, the flagged terms being (term, action) of a table."""
     spark, text = docs.sparkSession, text_or_empty(text_col)
-    found = disclosed_groups(docs, text_col, SUPPORT, threshold, left)[0].groupBy("term").agg(F.max("action").alias("action"))  # remove before generalise
-    found = materialize(found)
-    if found.count() <= BROADCAST_ROWS:
-        flagged = {row["term"]: row["action"] for row in found.toLocalIterator()}
-        return docs.withColumn(out_col, _spans_column(text, spark.sparkContext.broadcast(flagged)))
 
     # too many to broadcast: the words meet the flagged terms in a join, the texts their spans by a digest
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -345,8 +355,17 @@ def redact(text: str, spans: list[dict]) -> str:
 
 def sanitise(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, left: float | None = LEFT) -> DataFrame:
     """docs with their texts redacted, all columns kept; a null text stays null."""
+    found, listed = _flagged(docs, text_col, threshold, left)
+    if listed is not None:
+        # one function finds the spans and cuts them out: a second one would be a second Python process for each task
+        @F.pandas_udf("string")
+        def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield pd.Series([t if not t else redact(t, [{"kind": k, "start": s, "end": e} for k, s, e in all_spans(t, listed.value)]) for t in batch], dtype=object)
+
+        return docs.withColumn(text_col, cut(F.col(text_col)))
     spans = free_name(docs, "_spans")
-    out = detect(docs, text_col, spans, threshold, left)
+    out = _joined_spans(docs, text_col, spans, found)
 
     @F.pandas_udf("string")
     def of(texts: pd.Series, found: pd.Series) -> pd.Series:
