@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -264,7 +265,7 @@ def codec(path: str, pattern: str, most_words: int = MOST_WORDS, most_states: in
 def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text", at_once: int = 256, verify: bool = False, **bounds: int) -> DataFrame:
     """docs with n_tokens (long) and ids (array<int>). A task holds the ids of `at_once` documents at a time; bounds are those of codec().
 
-    With verify each document is decoded again in the same task, and one that does not come back as it was ends the job.
+    The codec lives as long as its task: processes are used again by other steps, whose memory it would take. With verify each document is decoded again in the same task, and one that does not come back as it was ends the job.
     """
     bound_batches(docs.sparkSession)
     docs = docs.drop("n_tokens", "ids")
@@ -272,19 +273,23 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "
     schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path, pattern, **bounds)
-        for batch in batches:
-            for k in range(0, batch.num_rows, at_once):
-                part = batch.slice(k, at_once)
-                texts = [t or "" for t in part.column(at).to_pylist()]
-                found = [np.array(coder.encode(t), np.int32) for t in texts]
-                if verify and any(coder.decode(ids.tolist()) != t for ids, t in zip(found, texts, strict=True)):
-                    raise ValueError("a document does not decode to its text")
-                n = np.array([len(x) for x in found], np.int64)
-                ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), ids], [*part.schema.names, "n_tokens", "ids"])
-        pa.default_memory_pool().release_unused()  # the process stays for later tasks
+        coder = Codec(load_ranks(path), pattern, **bounds)
+        try:
+            for batch in batches:
+                for k in range(0, batch.num_rows, at_once):
+                    part = batch.slice(k, at_once)
+                    texts = [t or "" for t in part.column(at).to_pylist()]
+                    found = [np.array(coder.encode(t), np.int32) for t in texts]
+                    if verify and any(coder.decode(ids.tolist()) != t for ids, t in zip(found, texts, strict=True)):
+                        raise ValueError("a document does not decode to its text")
+                    n = np.array([len(x) for x in found], np.int64)
+                    ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), ids], [*part.schema.names, "n_tokens", "ids"])
+        finally:
+            del coder
+            gc.collect()  # its states refer to each other
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(of, schema)
 
