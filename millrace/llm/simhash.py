@@ -282,6 +282,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         for batch in batches:
             yield pd.Series([node_of(t) for t in batch], dtype="int64")
 
+    # else joins on it filter null ones below, by a Python process of their own that numbers every text again
+    number = number.asNondeterministic()
+
     @F.pandas_udf("node long, f binary, s binary, n long")
     def known(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -6,7 +6,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, pii
+from millrace.llm import bpe, pii, simhash
 
 
 def test_redaction_is_one_python_step(spark, sf_dir, monkeypatch):
@@ -36,3 +36,9 @@ def test_encoding_leaves_no_codec_behind(spark, sf_dir):
 
     # later tasks get the same processes; before, each kept its codec, some 70 MB
     assert spark.range(0, 64, 1, 8).mapInPandas(left, "n long").agg(F.sum("n")).first()[0] == 0
+
+
+def test_keeping_one_of_near_copies_is_one_python_step(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    # before, the join numbered every text a second time for a filter
+    assert simhash.keep_one(docs)._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
