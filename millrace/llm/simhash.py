@@ -119,8 +119,8 @@ WIDE, SIMILAR, RECALL = 1024, 0.8, 0.98
 MOVED = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
 WORD_DISTANCE, WIDE_DISTANCE = (math.ceil(n * MOVED + 5 * math.sqrt(n * MOVED * (1 - MOVED))) for n in (64, WIDE))
 #: Bits of the parity sketch, the part of two sets' sizes that pairs of the least similarity differ in at most, and the most
-#: fingerprints with sketches that are broadcast (42 MB).
-PARITY, DIFFERENT, WIDE_ROWS = 2048, (1 - SIMILAR) / (1 + SIMILAR), 100_000
+#: nodes of very many links whose fingerprints with sketches are broadcast (4 MB); all others are joined by a shuffle.
+PARITY, DIFFERENT, HOT_ROWS = 2048, (1 - SIMILAR) / (1 + SIMILAR), 10_000
 
 
 def _normal(text: str) -> list[bytes]:
@@ -237,8 +237,8 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     sketched = {"s", "n"} <= set(prints.columns)
     more = [longs("s").alias("s"), "n"] if sketched else []
     wide = materialize(prints.join(met_any, "node", "left_semi").select("node", longs("f").alias("w"), *more))
-    known = wide.count()
-    whole = lambda node, w: bounded_broadcast(wide.select(F.col("node").alias(node), *[F.col(c).alias(c + w[1:]) for c in wide.columns[1:]]), known, WIDE_ROWS)
+    # never broadcast: some 400 bytes a node, in the driver's memory several times for each of four joins
+    whole = lambda node, w: wide.select(F.col("node").alias(node), *[F.col(c).alias(c + w[1:]) for c in wide.columns[1:]])
     bits = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
     distance = lambda x, y, longs: reduce(add, (F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(longs)))
     near = distance("wa", "wb", WIDE // 64) <= WIDE_DISTANCE
@@ -250,7 +250,7 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     star = star.filter("a <> b").filter(bits("f0", "g0") <= WORD_DISTANCE).select("a", "b").distinct()
     star = materialize(star)
     # a node can be the least of many buckets, of thousands of members each
-    with_b = star.join(whole("b", "wb"), "b") if known <= WIDE_ROWS else look_up(star, whole("b", "wb"), "b", max(1_000, star.count() // WIDE_ROWS))
+    with_b = look_up(star, whole("b", "wb"), "b", max(1_000, star.count() // HOT_ROWS))
     star = with_b.join(whole("a", "wa"), "a").filter(near)
     links = verified(star.select("a", "b"), docs, width)
     found = components(links)
