@@ -261,6 +261,10 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     rooted = rooted.withColumns({"low": F.min("root").over(key), "high": F.max("root").over(key)}).filter("low <> high")
     rooted = rooted.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key", "root"))).withColumn("most", F.max(F.struct("m", "root")).over(key)["root"])
     rooted = rooted.select("key", "node", "f0", "root", (F.col("root") != F.col("most")).alias("minor"))
+    # rows without any partner by the first 64 bits, as chance fills buckets with, take no fingerprint along either
+    partner = rooted.select(F.col("key").alias("met"), F.col("f0").alias("g0"), F.col("root").alias("ra"), F.col("minor").alias("also"))
+    partnered = (F.col("key") == F.col("met")) & (F.col("ra") != F.col("root")) & (F.col("minor") | F.col("also")) & (bits("f0", "g0") <= WORD_DISTANCE)
+    rooted = materialize(rooted.join(partner, partnered, "left_semi"))
     x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra")).join(whole("a", "wa"), "a")
     met = x.join(
         rooted.join(whole("node", "wb"), "node"),
