@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import bound_batches, bounded_broadcast, free_name, materialize, skew_join, text_or_empty
 from millrace.llm.components import components, look_up
+from millrace.workspace import release
 
 WIDTH, SEED, DISTANCE = 5, 42, 4
 #: Offset and width of each segment.
@@ -237,6 +238,7 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     sketched = {"s", "n"} <= set(prints.columns)
     more = [longs("s").alias("s"), "n"] if sketched else []
     wide = materialize(prints.join(met_any, "node", "left_semi").select("node", longs("f").alias("w"), *more))
+    release(docs.sparkSession)
     # never broadcast: some 400 bytes a node, in the driver's memory several times for each of four joins
     whole = lambda node, w: wide.select(F.col("node").alias(node), *[F.col(c).alias(c + w[1:]) for c in wide.columns[1:]])
     bits = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
@@ -254,6 +256,7 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     star = with_b.join(whole("a", "wa"), "a").filter(near)
     links = verified(star.select("a", "b"), docs, width)
     found = components(links)
+    release(docs.sparkSession)
     rooted = shared.join(bounded_broadcast(found, found.count()), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = rooted.repartition(F.col("key"))  # for both windows and the join
     # the least node goes first, so buckets of two, which are most of those that chance fills, carry no fingerprint any further
@@ -265,6 +268,7 @@ def similar(prints: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame
     partner = rooted.select(F.col("key").alias("met"), F.col("f0").alias("g0"), F.col("root").alias("ra"), F.col("minor").alias("also"))
     partnered = (F.col("key") == F.col("met")) & (F.col("ra") != F.col("root")) & (F.col("minor") | F.col("also")) & (bits("f0", "g0") <= WORD_DISTANCE)
     rooted = materialize(rooted.join(partner, partnered, "left_semi"))
+    release(docs.sparkSession)
     x = rooted.filter("minor").select("key", F.col("node").alias("a"), F.col("f0").alias("g0"), F.col("root").alias("ra")).join(whole("a", "wa"), "a")
     met = x.join(
         rooted.join(whole("node", "wb"), "node"),
@@ -301,6 +305,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     prints = materialize(docs.select(F.col(id_col).alias("id"), known(text).alias("of")).select("id", "of.*"))
     unique = materialize(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("f", "s", "n")], F.min("id").alias("least")))
     found = components(similar(unique.select("node", "f", "s", "n"), docs.select(number(text).alias("node"), text.alias("text")), width))
+    release(docs.sparkSession)
     rooted = unique.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "node")).alias("best"))
     key, node, again = (free_name(docs, n) for n in ("_kept_id", "_kept_node", "_node"))

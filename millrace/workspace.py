@@ -29,6 +29,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files and checkpoints that nothing refers to any more: Spark removes them once the driver collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df as it is, or dealt to all cores where its scan makes fewer tasks than there are (a few small files)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
